@@ -1,0 +1,91 @@
+"""Run registered queries next to their SQL counterparts and compare whole results."""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings"
+    " pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    con.sql("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _normal(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "NaN"
+    return value
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(
+        (tuple(_normal(row[i]) for i in order) for row in rows),
+        key=lambda row: tuple((v is None, str(type(v)), str(v)) for v in row),
+    )
+
+
+def difference(df, con, sql) -> str:
+    """Empty when columns, column types and all rows agree; else what differs."""
+    expected = con.sql(sql)
+    ours = _rows(df.columns, [tuple(row) for row in df.collect()])
+    theirs = _rows(expected.columns, expected.fetchall())
+    if sorted(df.columns) != sorted(expected.columns):
+        return f"columns {sorted(df.columns)} != {sorted(expected.columns)}"
+    names = {
+        "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+        "date": "DATE", "boolean": "BOOLEAN",
+    }
+    types = {c: str(t) for c, t in zip(expected.columns, expected.types)}
+    for name, kind in df.dtypes:
+        if names.get(kind, kind) != types[name]:
+            return f"type of {name}: {kind} != {types[name]}"
+    if len(ours) != len(theirs):
+        return f"{len(ours)} rows != {len(theirs)}"
+    wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else ""
+
+
+def main() -> None:
+    from pyspark.sql import SparkSession
+
+    sys.path.insert(0, str(Path(__file__).parent.parent))
+    import __spark_entry__ as contract
+
+    sf_dir = sys.argv[1]
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    con = connect(sf_dir)
+    for name, query in contract.queries().items():
+        if len(sys.argv) > 2 and name not in sys.argv[2:]:
+            continue
+        start = time.time()
+        try:
+            df = query(spark, sf_dir)
+            verdict = difference(df, con, contract.oracle_sql()[name]) or f"ok {df.count()} rows"
+        except Exception as error:  # report and go on with the other queries
+            verdict = f"ERROR {str(error)[:600]}"
+        print(f"{name}: {verdict} ({time.time() - start:.1f}s)", flush=True)
+
+
+if __name__ == "__main__":
+    main()
