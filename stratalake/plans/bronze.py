@@ -91,11 +91,12 @@ def copy_rejects(
     """Copy a batch's rejects out of Bronze.
 
     Reads the stored Parquet rather than the landing files: the marker is final
-    there, and row groups without rejects are skipped by their statistics. A
-    batch without rejects replaces what an earlier run may have left.
+    there, and row groups without rejects are skipped by their statistics. The
+    rebalance turns the few rejects of many tasks into few files. A batch
+    without rejects replaces what an earlier run may have left.
     """
     stored = spark.read.schema(spec.bronze).parquet(batch_path(bronze, batch))
-    rejects = stored.where(F.col(CORRUPT).isNotNull())
+    rejects = stored.where(F.col(CORRUPT).isNotNull()).hint("rebalance")
     if not expected:
         rejects = spark.createDataFrame([], stored.schema)
     write_batch(rejects, dead_letter, batch)

@@ -2,26 +2,56 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.operators.cleaning import apply_rules
+from stratalake.operators.cleaning import derived, tidied, valid_rows
 from stratalake.operators.dedup import latest_per_key
-from stratalake.sources.layers import read_bronze
+from stratalake.sources.layers import read_bronze, read_silver
 from stratalake.sources.sinks import require_distinct, write_partitioned
 from stratalake.tables import TableSpec, spec_for
 
 
-def refined(bronze: DataFrame, table: str | TableSpec) -> DataFrame:
-    """Latest valid version of each record: clean first, then deduplicate."""
-    spec = spec_for(table)
-    return latest_per_key(apply_rules(bronze, spec), spec.key)
-
-
-def refine(spark: SparkSession, table: str | TableSpec, bronze: str, silver: str) -> int:
-    """Rebuild one Silver table from all Bronze batches; returns the rows written.
+def refined(
+    bronze: DataFrame, table: str | TableSpec, earlier: DataFrame | None = None
+) -> DataFrame:
+    """Latest valid version of each record: clean first, then deduplicate.
 
-    Always a full rebuild: a re-delivered record moves to its newest batch, so
-    replacing only that batch would leave the old version in its old one.
+    Columns computed from the others are added to the surviving rows only, which
+    keeps them out of the shuffle. ``earlier`` is a Silver table to bring up to
+    date with newer Bronze rows; the latest version of the latest versions is
+    the same as that of all rows.
+    """
+    spec = spec_for(table)
+    rows = tidied(valid_rows(bronze, spec), spec)
+    if earlier is not None:
+        rows = earlier.select(*rows.columns).unionAll(rows)
+    return derived(latest_per_key(rows, spec.key), spec)
+
+
+def refine(
+    spark: SparkSession,
+    table: str | TableSpec,
+    bronze: str,
+    silver: str,
+    *,
+    earlier: str | None = None,
+    since: date | None = None,
+) -> int:
+    """Rebuild one Silver table; returns the rows written.
+
+    By default from all Bronze batches. With ``earlier``, the path of a previous
+    Silver version, only Bronze batches from ``since`` on are read and cleaned.
+    Either way the whole table is written anew, as a re-delivered record moves
+    to its newest batch and must leave its old one.
     """
+    if (earlier is None) != (since is None):
+        raise ValueError("earlier and since go together")
     require_distinct(bronze, silver)
-    return write_partitioned(refined(read_bronze(spark, table, bronze), table), silver)
+    previous = None
+    if earlier is not None:
+        require_distinct(earlier, silver)
+        previous = read_silver(spark, table, earlier)
+    fresh = read_bronze(spark, table, bronze, since=since)
+    return write_partitioned(refined(fresh, table, previous), silver)

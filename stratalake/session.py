@@ -9,10 +9,15 @@ from pyspark.sql import SparkSession
 
 MB = 1024 * 1024
 
-# One reduce task handles about this much shuffled data, and a rebalanced write
-# produces files of about this size.
+# A task reads or receives about this much, and a rebalanced write produces files
+# of about this size.
 TARGET_PARTITION_BYTES = 128 * MB
 
+# Beyond this many tasks per stage partitions grow instead: a shuffle moves
+# (map tasks x reduce tasks) blocks, which must neither become too many nor tiny.
+MAX_PARTITIONS = 32_768
+MAX_SPLIT_BYTES = 1024 * MB
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -23,13 +28,22 @@ DEFAULTS = {
 }
 
 
-def shuffle_partitions(data_gb: float) -> int:
-    """Starting number of shuffle partitions for a job over ``data_gb`` of input.
+def sizing(data_gb: float) -> dict[str, str]:
+    """Settings for a job over ``data_gb`` of input.
 
-    Adaptive execution merges partitions that turn out small but never adds any
-    to a plain aggregate or window, so the start has to be high enough.
+    Adaptive execution merges shuffle partitions that turn out small but adds
+    none to a plain aggregate or window, so their starting number has to be high
+    enough. Input splits grow with the data so that map tasks stay countable.
     """
-    return max(200, int(data_gb * 1024 * MB // TARGET_PARTITION_BYTES))
+    size = int(data_gb * 1024 * MB)
+    partitions = min(max(200, size // TARGET_PARTITION_BYTES), MAX_PARTITIONS)
+    split = min(max(TARGET_PARTITION_BYTES, size // MAX_PARTITIONS), MAX_SPLIT_BYTES)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        # Many tiny tasks cost more than they gain once the cluster is full anyway.
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
 
 
 def get_spark(
@@ -39,16 +53,8 @@ def get_spark(
     master: str | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create or reuse a session; ``data_gb`` sizes the shuffles, ``conf`` wins over defaults."""
-    settings = dict(DEFAULTS)
-    if data_gb is not None:
-        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
-            shuffle_partitions(data_gb)
-        )
-        # Many tiny tasks cost more than they gain once the cluster is full anyway.
-        settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
-    settings.update(conf or {})
-
+    """Create or reuse a session; ``data_gb`` sizes its stages, ``conf`` wins over defaults."""
+    settings = {**DEFAULTS, **(sizing(data_gb) if data_gb is not None else {}), **(conf or {})}
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

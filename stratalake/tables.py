@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+from stratalake.functions.dates import iso_date
+
 INGESTED_AT = "_ingested_at"
 SOURCE_FILE = "_source_file"
 BATCH_DATE = "_batch_date"
@@ -109,7 +111,7 @@ ORDERS = TableSpec(
     tidy={
         "channel": "upper(trim(channel))",
         "status": "lower(trim(status))",
-        "order_date": "try_to_date(order_date, 'yyyy-MM-dd')",
+        "order_date": iso_date("order_date"),
         "discount_pct": "coalesce(discount_pct, 0D)",
     },
     derived={"net_revenue": "round(unit_price * quantity * (1 - discount_pct), 2)"},
@@ -126,7 +128,7 @@ CUSTOMERS = TableSpec(
         "last_name": "initcap(trim(last_name))",
         "country": "initcap(trim(country))",
         "email": "lower(trim(email))",
-        "registration_date": "try_to_date(registration_date, 'yyyy-MM-dd')",
+        "registration_date": iso_date("registration_date"),
         "is_active": "coalesce(is_active, true)",
     },
     retyped={"registration_date": T.DateType()},

@@ -1,0 +1,43 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from stratalake.session import get_spark  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = get_spark(
+        "stratalake-tests",
+        master="local[4]",
+        conf={
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "4g",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def path(tmp_path):
+    """Child paths of a fresh directory, as strings."""
+    return lambda *parts: str(tmp_path.joinpath(*parts))
+
+
+def bronze_rows(spark, table, rows):
+    """Bronze DataFrame of a table from dicts; missing fields are NULL."""
+    from stratalake.tables import CORRUPT, spec_for
+
+    schema = spec_for(table).bronze
+    names = [name for name in schema.names if name != CORRUPT]
+    fields = [schema[name] for name in names]
+    values = [tuple(row.get(name) for name in names) for row in rows]
+    return spark.createDataFrame(values, type(schema)(fields))
