@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 MB = 1024 * 1024
 
-# A task reads or receives about this much, and a rebalanced write produces files
-# of about this size.
+# A task reads or receives up to this much, and a rebalanced write produces files
+# of up to this size. Jobs too small for that get smaller shares, down to the
+# minimum, so that all cores have work.
 TARGET_PARTITION_BYTES = 128 * MB
+MIN_PARTITION_BYTES = 4 * MB
+FULL_SIZE_PARTITIONS = 200
 
 # Beyond this many tasks per stage partitions grow instead: a shuffle moves
 # (map tasks x reduce tasks) blocks, which must neither become too many nor tiny.
@@ -23,11 +26,14 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
 
+def _within(low: int, value: int, high: int) -> int:
+    return min(max(low, value), high)
+
+
 def sizing(data_gb: float) -> dict[str, str]:
     """Settings for a job over ``data_gb`` of input.
 
@@ -36,14 +42,18 @@ def sizing(data_gb: float) -> dict[str, str]:
     enough. Input splits grow with the data so that map tasks stay countable.
     """
     size = int(data_gb * 1024 * MB)
-    partitions = min(max(200, size // TARGET_PARTITION_BYTES), MAX_PARTITIONS)
-    split = min(max(TARGET_PARTITION_BYTES, size // MAX_PARTITIONS), MAX_SPLIT_BYTES)
-    return {
+    share = _within(MIN_PARTITION_BYTES, size // FULL_SIZE_PARTITIONS, TARGET_PARTITION_BYTES)
+    partitions = _within(16, size // share, MAX_PARTITIONS)
+    split = _within(TARGET_PARTITION_BYTES, size // MAX_PARTITIONS, MAX_SPLIT_BYTES)
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(share),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        # Many tiny tasks cost more than they gain once the cluster is full anyway.
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.files.maxPartitionBytes": str(split),
     }
+    if share == TARGET_PARTITION_BYTES:
+        # Many tiny tasks cost more than they gain once the cluster is full anyway.
+        settings["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+    return settings
 
 
 def get_spark(

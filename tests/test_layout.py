@@ -117,7 +117,6 @@ def test_silver_files_follow_batches_not_tasks(spark, path):
 
 def test_one_batch_holding_nearly_all_rows_is_split_over_tasks(spark, path):
     key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
     spark.conf.set(key, "200k")
     try:
         rows = spark.range(0, 200_000, 1, 8).select(
@@ -127,17 +126,19 @@ def test_one_batch_holding_nearly_all_rows_is_split_over_tasks(spark, path):
         hot = rows.withColumn("_batch_date", F.expr("if(rand(1) < 0.99, d, date_add(d, 1))"))
         write_partitioned(hot.drop("d"), path("out"))
     finally:
-        spark.conf.set(key, before)
+        spark.conf.unset(key)
     assert len(os.listdir(path("out", "_batch_date=2024-01-01"))) > 10
 
 
 def test_sizing_grows_with_the_data_up_to_a_bound():
     number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    share = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     split = "spark.sql.files.maxPartitionBytes"
-    small, large = sizing(1), sizing(100 * 1024)
-    assert small[number] == "200" and int(sizing(100)[number]) == 800
-    assert int(large[number]) == MAX_PARTITIONS
-    assert int(split and small[split]) < int(large[split]) == 1024**3
+    tiny, middle, large = ({k: int(v) for k, v in sizing(gb).items() if v.isdigit()}
+                           for gb in (0.05, 100, 100 * 1024))
+    assert (tiny[number], tiny[share] >> 20, tiny[split] >> 20) == (16, 4, 128)
+    assert (middle[number], middle[share] >> 20, middle[split] >> 20) == (800, 128, 128)
+    assert (large[number], large[share] >> 20, large[split] >> 20) == (MAX_PARTITIONS, 128, 1024)
 
 
 def test_session_defaults(spark):
