@@ -68,7 +68,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
