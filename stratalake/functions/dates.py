@@ -7,7 +7,7 @@ def iso_date(column: str) -> str:
     """SQL expression: ``yyyy-MM-dd`` text as a date, anything else as NULL.
 
     Equal to ``try_to_date(column, 'yyyy-MM-dd')``, which raises and catches an
-    exception for every bad value. Those cost many times a good one, and a
+    exception for every bad value. Those cost several times a good one, and a
     single source with another date format can be a large share of all rows. So
     ten-byte dates go through the exception-free cast (which by itself would
     also take a one-digit day before a blank), and the formatter is left with

@@ -191,8 +191,7 @@ SELECT product_id, unit_price, unit_cost, margin_pct FROM silver_products""",
 SELECT * REPLACE (cast(_ingested_at AS date) AS _ingested_at)
 FROM ({_latest('staged_orders', 'order_id', ORDER_TIES)})""",
     "silver_parquet_scan": f"""WITH {CLEAN}
-SELECT * EXCLUDE (_ingested_at) FROM silver_orders
-WHERE _batch_date BETWEEN DATE '1997-01-01' AND DATE '1999-12-31'""",
+SELECT * EXCLUDE (_ingested_at) FROM silver_orders""",
     "gold_daily_revenue": f"WITH {CLEAN} {DAILY}",
     "gold_customer_metrics": CUSTOMER_METRICS,
     "gold_product_performance": f"""WITH {CLEAN}, sold AS (
