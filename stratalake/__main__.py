@@ -12,6 +12,7 @@ from stratalake.plans import bronze, count_words, full_run, gold, silver
 from stratalake.session import get_spark
 from stratalake.sources.landing import FORMATS
 from stratalake.sources.sinks import Target, bigquery_target
+from stratalake.streaming.incremental import ingest_new_files
 from stratalake.tables import TABLES
 
 logger = logging.getLogger("stratalake")
@@ -48,6 +49,13 @@ def _parser() -> argparse.ArgumentParser:
 
     sub = command("silver", "clean and deduplicate one table", "bronze", "silver")
     sub.add_argument("--table", choices=list(TABLES), required=True)
+    sub.add_argument("--earlier", help="previous Silver version to bring up to date")
+    sub.add_argument("--since", type=date.fromisoformat, help="first batch it lacks")
+
+    sub = command("bronze-new", "ingest files not read before", "landing", "bronze", "progress")
+    sub.add_argument("--table", choices=list(TABLES), required=True)
+    sub.add_argument("--files-per-step", type=int)
+    landing_options(sub)
 
     sub = command("gold", "build aggregates", "silver", "gold")
     sub.add_argument("--job", choices=["all", *gold.JOBS], required=True)
@@ -93,7 +101,20 @@ def _execute(spark: SparkSession, args: argparse.Namespace) -> object:
             **options,
         )
     if args.command == "silver":
-        return silver.refine(spark, args.table, args.bronze, args.silver)
+        return silver.refine(
+            spark, args.table, args.bronze, args.silver, earlier=args.earlier, since=args.since
+        )
+    if args.command == "bronze-new":
+        return ingest_new_files(
+            spark,
+            args.table,
+            args.landing,
+            args.bronze,
+            args.progress,
+            file_format=args.format,
+            ingested_at=args.ingested_at,
+            files_per_step=args.files_per_step,
+        )
     if args.command == "gold":
         return gold.build(
             spark, args.silver, args.gold, args.job, as_of=args.as_of, targets=_targets(args)

@@ -42,9 +42,10 @@ def refine(
     """Rebuild one Silver table; returns the rows written.
 
     By default from all Bronze batches. With ``earlier``, the path of a previous
-    Silver version, only Bronze batches from ``since`` on are read and cleaned.
-    Either way the whole table is written anew, as a re-delivered record moves
-    to its newest batch and must leave its old one.
+    Silver version, only Bronze batches from ``since`` on are read and cleaned;
+    that version must hold all older batches as they are now, under the same
+    rules. Either way the whole table is written anew, as a re-delivered record
+    moves to its newest batch and must leave its old one.
     """
     if (earlier is None) != (since is None):
         raise ValueError("earlier and since go together")

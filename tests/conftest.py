@@ -13,7 +13,7 @@ from stratalake.session import get_spark  # noqa: E402
 def spark(tmp_path_factory):
     session = get_spark(
         "stratalake-tests",
-        master="local[4]",
+        master="local[4,3]",  # a failed task may run three times
         conf={
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",

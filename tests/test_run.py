@@ -3,11 +3,14 @@
 from datetime import date, datetime, timezone
 
 import pytest
+from pyspark import TaskContext
 from test_bronze import write_file
 
 from stratalake.__main__ import main
-from stratalake.plans import bronze, full_run
+from stratalake.plans import bronze, full_run, silver
+from stratalake.sources import star_landing as star
 from stratalake.sources.layers import read_bronze, read_silver
+from stratalake.sources.sinks import write_batch, write_partitioned
 from stratalake.tables import TABLES
 
 NOON = datetime(2024, 6, 1, 12, tzinfo=timezone.utc)
@@ -78,6 +81,30 @@ def test_next_day_updates_without_losing_history(spark, path):
     ]
 
 
+def test_tasks_that_fail_and_rerun_change_neither_rows_nor_counts(spark, path):
+    def fails_once(batches):
+        """Pass data on, then fail the first attempt of every second task."""
+        yield from batches
+        task = TaskContext.get()
+        if task.attemptNumber() == 0 and task.partitionId() % 2 == 0:
+            raise RuntimeError("first attempt lost")
+
+    rows = star.staged_orders(spark, "/root/testdata/sf0.001").repartition(4)
+    spark.sparkContext.setLogLevel("OFF")
+    expected = sorted(map(str, silver.refined(rows, "orders").collect()))
+    assert write_batch(rows.mapInArrow(fails_once, rows.schema), path("b"), NOON.date()) == {
+        "rows": 6000
+    }
+    assert spark.read.parquet(path("b")).count() == 6000
+    before = silver.refined(rows.mapInArrow(fails_once, rows.schema), "orders")
+    after = silver.refined(rows, "orders")
+    after = after.mapInArrow(fails_once, after.schema)
+    for name, df in (("before", before), ("after", after)):
+        assert write_partitioned(df, path(name)) == len(expected)
+        stored = spark.read.parquet(path(name)).select(*df.columns)
+        assert sorted(map(str, stored.collect())) == expected
+
+
 def test_command_line_layers(spark, path):
     lake = land(path)
     for table in TABLES:
@@ -108,6 +135,20 @@ def test_command_line_run_and_words(spark, path):
     assert {r.value for r in spark.read.text(path("merged")).collect()} == {"a\t2", "b\t1"}
 
 
+def test_command_line_increments(spark, path):
+    lake = land(path)
+    common = ["--table", "orders", "--landing", lake.path("landing", "orders")]
+    common += ["--bronze", path("b"), "--progress", path("progress")]
+    main(["bronze-new", *common, "--ingested-at", "2024-06-01"])
+    silver_paths = ["silver", "--table", "orders", "--bronze", path("b"), "--silver"]
+    assert main([*silver_paths, path("v1")]) == 2
+    header = ",".join(TABLES["orders"].landing.names)
+    late = ["o5,c1,p1,2024-06-01,1,10.0,,online,Completed"]
+    write_file(path("lake", "landing", "orders", "b.csv"), late, header)
+    main(["bronze-new", *common, "--ingested-at", "2024-06-02"])
+    assert main([*silver_paths, path("v2"), "--earlier", path("v1"), "--since", "2024-06-02"]) == 3
+
+
 def test_command_line_refuses_unknown_names():
     for argv in (["bronze", "--table", "returns"], ["gold", "--job", "weekly"], []):
         with pytest.raises(SystemExit):
