@@ -37,4 +37,5 @@ def as_tsv(counts: DataFrame) -> DataFrame:
 
 
 def _bad_line(line: Column) -> Column:
-    return F.raise_error(F.concat(F.lit("not a word<TAB>count line: "), F.coalesce(line, F.lit(""))))
+    shown = F.coalesce(line, F.lit(""))
+    return F.raise_error(F.concat(F.lit("not a word<TAB>count line: "), shown))

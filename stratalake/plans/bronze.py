@@ -76,30 +76,23 @@ def ingest(
     if strict:
         rows = reject_missing_keys(rows, spec)
     written = write_batch(rows, bronze, moment.date(), rejected=F.count(CORRUPT))
-    copy_rejects(spark, spec, bronze, dead_letter, moment.date(), written["rejected"])
+    if written["rejected"]:
+        stored = spark.read.schema(spec.bronze).parquet(batch_path(bronze, moment.date()))
+    else:  # nothing to look for, but an earlier run may have left letters
+        stored = spark.createDataFrame([], spec.bronze)
+    copy_rejects(stored, dead_letter, moment.date())
     return IngestResult(spec.name, moment.date(), written["rows"], written["rejected"])
 
 
-def copy_rejects(
-    spark: SparkSession,
-    spec: TableSpec,
-    bronze: str,
-    dead_letter: str,
-    batch: date,
-    expected: int,
-) -> None:
-    """Copy a batch's rejects out of Bronze.
-
-    Reads the stored Parquet rather than the landing files: the marker is final
-    there, and row groups without rejects are skipped by their statistics. The
-    rebalance turns the few rejects of many tasks into few files. A batch
-    without rejects replaces what an earlier run may have left.
+def copy_rejects(stored: DataFrame, dead_letter: str, batch: date) -> int:
+    """Copy the rejects among a batch's stored Bronze rows; returns how many.
+
+    Works on the stored Parquet rather than the landing files: the marker is
+    final there, and row groups without rejects are skipped by their statistics.
+    The rebalance turns the few rejects of many tasks into few files.
     """
-    stored = spark.read.schema(spec.bronze).parquet(batch_path(bronze, batch))
     rejects = stored.where(F.col(CORRUPT).isNotNull()).hint("rebalance")
-    if not expected:
-        rejects = spark.createDataFrame([], stored.schema)
-    write_batch(rejects, dead_letter, batch)
+    return write_batch(rejects, dead_letter, batch)["rows"]
 
 
 def read_dead_letters(spark: SparkSession, table: str | TableSpec, path: str) -> DataFrame:

@@ -117,7 +117,8 @@ DAMAGE = "(l_orderkey * 3 + l_linenumber) % 41"
 
 
 def _csv_line(**replaced: str) -> str:
-    fields = [f"coalesce({replaced.get(n, f'cast(({e}) AS string)')}, '')" for n, e in ORDERS.items()]
+    texts = [replaced.get(name, f"cast(({rule}) AS string)") for name, rule in ORDERS.items()]
+    fields = [f"coalesce({text}, '')" for text in texts]
     return f"concat_ws(',', {', '.join(fields)})"
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratalake.operators.audit import file_lineage, with_audit
+from stratalake.operators.audit import as_utc, file_lineage, with_audit
+from stratalake.plans.bronze import copy_rejects
 from stratalake.sources.sinks import require_distinct
 from stratalake.tables import BATCH_DATE, CORRUPT, CORRUPT_FIELD, TableSpec, spec_for
 
@@ -20,6 +22,7 @@ def ingest_new_files(
     progress: str,
     *,
     file_format: str = "csv",
+    dead_letter: str | None = None,
     ingested_at: datetime | None = None,
     files_per_step: int | None = None,
 ) -> None:
@@ -27,13 +30,17 @@ def ingest_new_files(
 
     The batch ingest re-reads the whole landing path; this one records what it
     has read below ``progress`` (on shared storage), so its cost follows the new
-    data. Rejects keep their raw text, as in the batch ingest. ``files_per_step`` splits a large backlog into steps, each committed
+    data. ``files_per_step`` splits a large backlog into steps, each committed
     on its own. Files are written through the stream's commit log: a step that
     is run again after a failure appears once. Keep such a Bronze path for this
     ingest alone.
+
+    Rejects keep their raw text, as in the batch ingest; with ``dead_letter``
+    all rejects of the batch date, from this and earlier calls, are copied there.
     """
     require_distinct(landing, bronze)
     spec = spec_for(table)
+    moment = as_utc(ingested_at)
     reader = (
         spark.readStream.format(file_format)
         .schema(T.StructType([*spec.landing.fields, CORRUPT_FIELD]))
@@ -44,7 +51,7 @@ def ingest_new_files(
         reader = reader.option("header", True)
     if files_per_step:
         reader = reader.option("maxFilesPerTrigger", files_per_step)
-    rows = with_audit(reader.load(landing), file_lineage(), ingested_at)
+    rows = with_audit(reader.load(landing), file_lineage(), moment)
     (
         rows.writeStream.format("parquet")
         .partitionBy(BATCH_DATE)
@@ -54,3 +61,8 @@ def ingest_new_files(
         .start()
         .awaitTermination()
     )
+    if dead_letter:
+        # The whole path, so that the commit log decides which files count.
+        stored = spark.read.schema(spec.bronze).parquet(bronze)
+        batch = moment.date()
+        copy_rejects(stored.where(F.col(BATCH_DATE) == F.lit(batch)), dead_letter, batch)

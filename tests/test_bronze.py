@@ -266,8 +266,12 @@ def test_incremental_ingest_reads_each_file_once(spark, path):
     ingest_new_files(*args, ingested_at=DAY1)
     write_file(path("landing", "b.csv"), [ORDER.format("c", 1)])
     write_file(path("landing", "c.csv"), [ORDER.format("d", 1)])
-    ingest_new_files(*args, ingested_at=DAY2, files_per_step=1)
-    ingest_new_files(*args)
+    ingest_new_files(*args, ingested_at=DAY2, files_per_step=1, dead_letter=path("dead2"))
+    ingest_new_files(*args, ingested_at=DAY1, dead_letter=path("dead"))
+    letters = bronze.read_dead_letters(spark, "orders", path("dead")).collect()
+    raw = ORDER.format("b", "x")
+    assert [(r._corrupt_record, r._batch_date.day) for r in letters] == [(raw, 15)]
+    assert bronze.read_dead_letters(spark, "orders", path("dead2")).count() == 0
     rows = read_bronze(spark, "orders", path("bronze")).collect()
     assert sorted((r.order_id, r._batch_date.day) for r in rows) == [("a", 15), ("c", 16), ("d", 16)]
     assert {r._source_file.rsplit("/", 1)[1] for r in rows} == {"a.csv", "b.csv", "c.csv"}
