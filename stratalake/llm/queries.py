@@ -11,6 +11,7 @@ from .segment_search import segment_search
 from .sign_dedup import sign_dedup
 from .token_blocks import token_blocks
 from .url_cascade import host_and_path, url_verdicts
+from .warc_index import warc_index
 
 URL_RULES = [
     ("allow", "com/"),
@@ -27,6 +28,11 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
 
 
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = warc_index(table(spark, sf_dir, "pages"))
+    return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_search(table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
 
@@ -44,6 +50,7 @@ def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
+    "op3_warc_index": op3_warc_index,
     "op6_segment_search": op6_segment_search,
     "op9_sign_dedup": op9_sign_dedup,
     "op10_url_cascade": op10_url_cascade,
@@ -80,4 +87,16 @@ SELECT p.page_id, host, path, rule,
 FROM p LEFT JOIN fits USING (page_id)
 """
 
-ORACLE: dict[str, str] = {"op6_segment_search": _SEARCH, "op10_url_cascade": _URLS}
+_WARC = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), w AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM w
+"""
+
+ORACLE: dict[str, str] = {"op3_warc_index": _WARC, "op6_segment_search": _SEARCH, "op10_url_cascade": _URLS}
