@@ -65,6 +65,17 @@ def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int =
         yield pa.Table.from_batches(held)
 
 
+#: Rows of keys (of a few dozen bytes) that may be broadcast to filter a wide table before it is shuffled.
+MOST_KEYS = 500_000
+
+
+def with_keys(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` that are (``left_anti``: are not) in the stored table ``keys``, which is broadcast only if its counted rows allow."""
+    few = keys.count() <= MOST_KEYS
+    condition = [df[c].eqNullSafe(keys[c]) for c in on]
+    return df.join(F.broadcast(keys) if few else keys, condition, how)
+
+
 def in_blocks(df: DataFrame, keys: list[str], member: str, limit: int) -> DataFrame:
     """Deal the members of each group to pairs of blocks, so that no task gets an unbounded group.
 

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .run_index import repeat_report
 from .segment_search import segment_search
+from .shingle_forest import shingle_join
 from .sign_dedup import sign_dedup
 from .token_blocks import token_blocks
 from .url_cascade import host_and_path, url_verdicts
@@ -33,10 +35,18 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_shingle_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join(table(spark, sf_dir, "documents"), size=5, threshold=0.8)
+
+
 def op6_segment_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment_search(table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64)
 
 
+def op7_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"), length=200)
+
+
 def op9_sign_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sign_dedup(table(spark, sf_dir, "embeddings"), threshold=0.9, recall=0.999)
 
@@ -51,7 +61,9 @@ def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op3_warc_index": op3_warc_index,
+    "op5_shingle_forest": op5_shingle_forest,
     "op6_segment_search": op6_segment_search,
+    "op7_run_index": op7_run_index,
     "op9_sign_dedup": op9_sign_dedup,
     "op10_url_cascade": op10_url_cascade,
 }
