@@ -2,12 +2,64 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stratalake.llm.common import table, written
+from stratalake.llm.common import table, with_keys, written
+from stratalake.llm.domain_mixing import mix_domains
+from stratalake.llm.queries import DOMAIN_WEIGHTS, labelled_domains
+from stratalake.llm.retrieval_packing import pack
+from stratalake.llm.run_index import cut_repeats, keyed
+from stratalake.llm.shingle_forest import shingle_join
+from stratalake.llm.site_quality import site_quality
 
-STAGES: list = []
-#: No stage but the first could be said in SQL; the stages are tested against brute force.
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier and their site's record call good."""
+    judged = site_quality(docs, table(spark, sf_dir, "labels"))
+    bad = written(judged.filter("not kept").select("doc_id", F.col("tid").alias("__tid")).distinct(), "rejected")
+    return with_keys(keyed(docs), bad, ["doc_id", "__tid"], "left_anti").drop("__tid")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; rows of one doc_id stay or go together."""
+    others = written(shingle_join(docs).filter("not kept").select("doc_id").distinct(), "duplicates")
+    return with_keys(docs, others, ["doc_id"], "left_anti")
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages of 200 bytes or more that occur more than once; blank texts go."""
+    cut = cut_repeats(docs).filter(F.trim("text") != "")
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated so that the domains' words approach the target shares; every document stays."""
+    rates = mix_domains(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS, floor=1.0)
+    more = written(rates.filter("copies > 1").select("doc_id", "tid", "copies"), "copies")
+    more = more.select(F.col("doc_id").alias("__id"), F.col("tid").alias("__text"), F.col("copies").alias("__copies"))
+    rows = keyed(docs)
+    joined = rows.join(more, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__tid") == F.col("__text")), "left")
+    copies = F.explode(F.sequence(F.lit(1), F.coalesce("__copies", F.lit(1))))
+    return joined.withColumn("__copy", copies).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows of 2048 ids, lexical neighbours together."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end=1, window=2048)
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeats", repeats),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+#: The classifier, the forest and the packing cannot be said in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -7,10 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .domain_mixing import mix_domains
+from .retrieval_packing import pack
 from .run_index import repeat_report
 from .segment_search import segment_search
 from .shingle_forest import shingle_join
 from .sign_dedup import sign_dedup
+from .site_quality import site_quality
 from .token_blocks import token_blocks
 from .url_cascade import host_and_path, url_verdicts
 from .warc_index import warc_index
@@ -22,6 +25,8 @@ URL_RULES = [
     ("block", "net/es/"),
     ("block", "net/fr/"),
 ]
+#: Target shares of the words of each domain.
+DOMAIN_WEIGHTS = {"de": 0.2, "en": 0.4, "es": 0.2, "fr": 0.2}
 #: A domain of the corpus is listed if one of its labels is one of these.
 LISTED_LABELS = ["ads-track", "free-bets", "cheap-pills", "spam-farm", "casino-win", "adult-x"]
 
@@ -30,11 +35,26 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2)
 
 
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The domain (language) of the documents that are labelled good."""
+    good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("domain")).join(good, "doc_id")
+
+
+def op2_domain_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mix_domains(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS).drop("tid")
+
+
 def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = warc_index(table(spark, sf_dir, "pages"))
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("tid")
+
+
 def op5_shingle_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join(table(spark, sf_dir, "documents"), size=5, threshold=0.8)
 
@@ -47,6 +67,10 @@ def op7_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_report(table(spark, sf_dir, "documents"), length=200)
 
 
+def op8_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end=1, window=2048)
+
+
 def op9_sign_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sign_dedup(table(spark, sf_dir, "embeddings"), threshold=0.9, recall=0.999)
 
@@ -60,10 +84,13 @@ def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
+    "op2_domain_mixing": op2_domain_mixing,
     "op3_warc_index": op3_warc_index,
+    "op4_site_quality": op4_site_quality,
     "op5_shingle_forest": op5_shingle_forest,
     "op6_segment_search": op6_segment_search,
     "op7_run_index": op7_run_index,
+    "op8_retrieval_packing": op8_retrieval_packing,
     "op9_sign_dedup": op9_sign_dedup,
     "op10_url_cascade": op10_url_cascade,
 }

@@ -8,9 +8,8 @@ holds the anchors by gram. Within a gram, suffixes that continue alike and are p
 alike (the symbol of the Burrows-Wheeler transform, here all bytes in which a window
 with the anchor can start) form a run, kept once, with its length and a sampled
 position. A run of two or more is repeated from end to end. Where a gram has
-several runs, they are sorted by their suffixes, and matching statistics are streamed
-down that order: the match to the right is the running minimum of neighbouring common
-prefixes, the match to the left is compared where the two can add up to ``length``.
+several runs, matching statistics are streamed over the suffixes that start 0, 1, 2 ...
+bytes before its anchors, sorted: a suffix matches for ``length`` bytes if a neighbour does.
 """
 
 from __future__ import annotations
@@ -122,48 +121,37 @@ def _contexts(length: int):
     return cut
 
 
-def _padded(values: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.array([len(v) for v in values], np.int64)
-    return np.frombuffer(b"".join(v.ljust(width, b"\0") for v in values), np.uint8).reshape(-1, width), sizes
-
-
-def _common_prefix(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-    different = a != b
-    first = np.where(different.any(axis=1), different.argmax(axis=1), a.shape[1])
-    return np.minimum(first, most)
-
-
-def matching_statistics(gram: np.ndarray, before: list[bytes], after: list[bytes], apart: np.ndarray | None, length: int) -> tuple[np.ndarray, np.ndarray]:
+def matching_statistics(gram: np.ndarray, before: list[bytes], after: list[bytes], apart: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Bytes to the left and right of each run's anchor that lie in a match of ``length`` with another run of its gram.
 
-    Rows are sorted by (gram, after). ``apart``: only runs of different numbers are compared.
+    The suffixes that start the same number of bytes before the anchor are sorted by
+    (gram, hash of their first ``length`` bytes); one has a match of that length if a
+    neighbour in this order is equal and has another number in ``apart``. The farthest
+    start with a match gives the bytes to the left, the nearest one those to the right.
     """
-    right, right_size = _padded(after, length)
-    left, left_size = _padded([v[::-1] for v in before], length - GRAM)
+    reach, p = length - GRAM, powers()
+    left, right = np.array([len(v) for v in before]), np.array([len(v) for v in after])
+    joined = b"".join(v.rjust(reach, b"\0") + w.ljust(length, b"\0") for v, w in zip(before, after, strict=True))
+    cells = np.frombuffer(joined, np.uint8).reshape(-1, reach + length).astype(np.uint64) + np.uint64(1)
+    sums = np.zeros((reach + length + 1, len(gram)), np.uint64)
+    np.cumsum((cells * p[: reach + length]).T, axis=0, out=sums[1:])
+    own = mix(gram.astype(np.uint64))
     most_left, most_right = np.zeros(len(gram), np.int64), np.zeros(len(gram), np.int64)
-    at = np.flatnonzero(gram[1:] == gram[:-1])  # rows whose d-th successor is in the same gram
-    near = np.zeros(len(gram), np.int64)
-    near[at] = _common_prefix(right[at], right[at + 1], np.minimum(right_size[at], right_size[at + 1]))
-    reach, d = near[at], 1
-    while len(at):
-        other = at + d
-        far = reach + np.minimum(left_size[at], left_size[other]) >= length
-        if apart is not None:
-            far &= apart[at] != apart[other]
-        i, j, r = at[far], other[far], reach[far]
-        for part in range(0, len(i), 20_000):
-            x, y = i[part : part + 20_000], j[part : part + 20_000]
-            match = _common_prefix(left[x], left[y], np.minimum(left_size[x], left_size[y]))
-            good = match + r[part : part + 20_000] >= length
-            for ends in (x[good], y[good]):
-                np.maximum.at(most_left, ends, match[good])
-                np.maximum.at(most_right, ends, r[part : part + 20_000][good])
-        d += 1
-        ahead = at + d < len(gram)
-        at, reach = at[ahead], reach[ahead]
-        same = gram[at + d] == gram[at]
-        at, reach = at[same], reach[same]
-        reach = np.minimum(reach, near[at + d - 1])
+    for start in range(reach, -1, -1):  # bytes before the anchor: reach - start
+        back = reach - start
+        rows = np.flatnonzero((left >= back) & (right >= length - back))
+        suffix = (sums[start + length, rows] - sums[start, rows]) * p[reach - start] + own[rows]
+        order = np.argsort(suffix)
+        suffix, label = suffix[order], apart[rows[order]]
+        new = np.ones(len(rows), bool)
+        new[1:] = suffix[1:] != suffix[:-1]
+        first = np.flatnonzero(new)
+        if len(first) == len(rows):
+            continue
+        several = np.minimum.reduceat(label, first) != np.maximum.reduceat(label, first)
+        hit = rows[order[several[np.cumsum(new) - 1]]]
+        most_left[hit] = back  # grows from round to round
+        most_right[hit] = np.maximum(most_right[hit], length - back)
     return most_left, most_right
 
 
@@ -174,15 +162,12 @@ def _streamer(length: int):
             key = np.stack([np.asarray(rows[k]) for k in keys])
             _, number = np.unique(key, axis=1, return_inverse=True)
             number = number.reshape(-1)
-            before, after = rows["before"].to_pylist(), rows["after"].to_pylist()
-            order = np.array(sorted(range(rows.num_rows), key=lambda i: (number[i], after[i])))
-            across, block = (key[1] != key[2])[order], np.asarray(rows["block"])[order]
-            # within one block all rows differ from each other, across two only the blocks do
-            apart = np.where(across, block, -1 - np.arange(len(order)))
-            left, right = matching_statistics(number[order], [before[i] for i in order], [after[i] for i in order], apart, length)
-            pos, copies = np.asarray(rows["pos"])[order], np.asarray(rows["copies"])[order]
+            # within one block all rows count as different, across two only those of different blocks
+            apart = np.where(key[1] != key[2], np.asarray(rows["block"]), -1 - np.arange(rows.num_rows))
+            left, right = matching_statistics(number, rows["before"].to_pylist(), rows["after"].to_pylist(), apart, length)
+            pos, copies = np.asarray(rows["pos"]), np.asarray(rows["copies"])
             found = np.flatnonzero((right > 0) & (copies == 1))
-            taken = rows.take(pa.array(order[found]))
+            taken = rows.take(pa.array(found))
             yield pa.RecordBatch.from_arrays(
                 [taken["doc_id"].combine_chunks(), taken["tid"].combine_chunks(), pa.array(pos[found] - left[found]), pa.array(pos[found] + right[found])],
                 names=["doc_id", "tid", "first", "last"],
