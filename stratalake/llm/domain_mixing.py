@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 #: Word buckets of the classifier, labelled documents it is fitted on (in expectation), words of evidence at most.
-BUCKETS, LABELLED, EVIDENCE = 8192, 20_000, 50
+BUCKETS, LABELLED, EVIDENCE = 8192, 20_000, 8
 TOLERANCE, ROUNDS = 1e-6, 40
 
 
