@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from .common import written
 
+#: Rounds end at this relative error, when one gains under a hundredth, or at their limit.
+TOLERANCE, ROUNDS = 1e-4, 40
 #: Word buckets of the classifier, labelled documents it is fitted on (in expectation), words of evidence at most.
 BUCKETS, LABELLED, EVIDENCE = 8192, 20_000, 8
-TOLERANCE, ROUNDS = 1e-6, 40
 
 
 def _inverse(g: list[list[float]]) -> list[list[float]]:
@@ -114,7 +115,7 @@ def fit_rates(members: DataFrame, targets: list[float], floor: float = 0.0) -> t
         now = [float(v or 0.0) for v in row]
         gap = [t - v for t, v in zip(targets, now, strict=True)]
         error = math.sqrt(sum(x * x for x in gap)) / max(math.sqrt(sum(t * t for t in targets)), 1e-300)
-        if error <= TOLERANCE or best is not None and error >= best * (1 - 1e-6):
+        if error <= TOLERANCE or best is not None and error >= best * 0.99:
             break
         best = error
         step = [round(sum(w * x for w, x in zip(row_, gap, strict=True)), 12) for row_ in inverse]

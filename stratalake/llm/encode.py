@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,9 @@ import numpy as np
 REMEMBERED, STRETCH = 1_000_000, 1_000_000
 #: A word of Latin letters with at most one mark behind it, in which no letter is rewritten by NFC.
 _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.]?)")
+#: A blank beside other white space: tokens may span them.
+_RUN = re.compile(r" \s|\s ")
+_OTHER_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
 
@@ -23,17 +27,29 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class _Pieces(dict):
-    """Ids by piece, found when first asked for; emptied when it holds ``REMEMBERED``."""
+    """Ids by piece, found when first asked for; of ``REMEMBERED`` pieces the half used longest ago goes."""
 
     def __init__(self, find) -> None:
         super().__init__()
-        self.find = find
+        self.find, self.older = find, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED // 2:
+            self.older = dict(self)
             self.clear()
-        found = self[piece] = self.find(piece)
+        found = self.older.get(piece)
+        if found is None:
+            found = self.find(piece)
+        self[piece] = found
         return found
 
 
@@ -72,21 +88,27 @@ class PieceEncoder:
         self.heads = _Pieces(lambda piece: self._find("", piece))
         self.rest = _Pieces(lambda piece: self._find(" ", piece))
         self.words = _Pieces(lambda piece: self._find("", piece))
+        self.marks = self.words if self.drops_blanks else self.heads
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
     def _find(self, lead: str, piece: str) -> bytes:
-        if not (m := _WORD.fullmatch(piece)):
-            return self._whole(lead + piece)
-        word, mark = m.groups()
-        word = lead + (word.lower() if self.drops_blanks else word)
-        ids = [t.id for t in self.model.tokenize("".join(self.letters[b] for b in word.encode()))]
-        return np.array(ids, dtype=self.dtype).tobytes() + (self.words_or_heads[mark] if mark else b"")
-
-    @property
-    def words_or_heads(self) -> _Pieces:
-        return self.words if self.drops_blanks else self.heads
+        same = self.rest if lead else self.marks
+        if m := _WORD.fullmatch(piece):
+            word, mark = m.groups()
+            if mark:  # a mark is a piece of its own; the word may be known
+                return same[word] + self.marks[mark]
+            if self.drops_blanks and not word.islower():
+                return self.words[word.lower()]
+            letters = word if word.isascii() else "".join(self.letters[b] for b in word.encode())
+            found = self.model.tokenize(self.letters[32] + letters if lead else letters)
+            return array(self.dtype.char, [t.id for t in found]).tobytes()
+        if self.keeps_blanks and "\n" in piece:
+            above, _, below = piece.partition("\n")
+            if piece.split() == [above, below]:  # a single line break between two words
+                return same[above] + self.heads["\n"] + self.heads[below]
+        return self._whole(lead + piece)
 
     def _stretches(self, text: str) -> Iterator[list[str]]:
         """The text's pieces, from a stretch that ends before a blank at a time."""
@@ -102,11 +124,13 @@ class PieceEncoder:
         if not (self.keeps_blanks or self.drops_blanks) or any(x in text for x in self.special):
             return self._whole(text)
         if self.drops_blanks:
-            return b"".join(
-                b"".join(map(self.words.__getitem__, " ".join(p).replace("\n", " ").split(" ")))
-                for p in self._stretches(text)
-            )
-        if "  " in text or text.endswith(" "):
+            if _latin(text):  # there letters are lowered one by one
+                text = text.lower()
+            parts = self._stretches(text.replace("\n", " "))
+            return b"".join(b"".join(map(self.words.__getitem__, p)) for p in parts)
+        if "  " in text or " \n" in text or "\n " in text or text.endswith(" "):
+            return self._whole(text)
+        if any(c in text for c in _OTHER_BLANKS) and _RUN.search(text):
             return self._whole(text)
         return b"".join(
             self.heads[p[0]] + b"".join(map(self.rest.__getitem__, p[1:])) for p in self._stretches(text)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, written
 
 #: Labelled documents the classifier is fitted on (in expectation), words it may look at, and their least z-score.
-LABELLED, WORDS, LEAST_Z = 20_000, 1_000, 5.0
+LABELLED, WORDS, LEAST_Z = 12_000, 400, 5.0
 _MARKS = str.maketrans({c: " " for c in ".,;:!?\"'()[]{}<>|/\\#$%&*+-=_~`^@0123456789"})
 _SYMBOLS = re.compile(r"[#$%&*]{2,}")
 
@@ -67,15 +67,24 @@ def _featurer(place: dict[str, int]):
     return features
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Logistic regression by Newton's method; the last column of ``x`` is the intercept."""
-    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+def _fit(shape: np.ndarray, words: list[list[int]], y: np.ndarray, size: int, ridge: float = 1.0) -> np.ndarray:
+    """Logistic regression by Newton's method over shapes, ``size`` words and, last, an intercept; rows are unfolded in parts."""
+    n, k = shape.shape
+    w, penalty = np.zeros(k + size + 1), np.full(k + size + 1, ridge)
     penalty[-1] = 1e-6
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
+        curve, slope = np.diag(penalty), -penalty * w
+        for a in range(0, n, 1000):
+            x = np.zeros((min(1000, n - a), len(w)))
+            x[:, :k], x[:, -1] = shape[a : a + 1000], 1
+            for i, found in enumerate(words[a : a + 1000]):
+                x[i, [k + j for j in found]] = 1
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            curve += (x * (p * (1 - p) + 1e-9)[:, None]).T @ x
+            slope += x.T @ (y[a : a + 1000] - p)
+        step = np.linalg.solve(curve, slope)
         w += step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-4:
             break
     return w
 
@@ -119,12 +128,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED)
     rows = map_arrow(sample, _featurer(place), "good int, shape array<double>, words array<int>").collect()
     shape = np.array([r.shape for r in rows])
     center, scale = shape.mean(axis=0), shape.std(axis=0) + 1e-6
-    x = np.zeros((len(rows), shape.shape[1] + len(place) + 1))
-    x[:, : shape.shape[1]] = (shape - center) / scale
-    for i, r in enumerate(rows):
-        x[i, [shape.shape[1] + j for j in r.words]] = 1
-    x[:, -1] = 1
-    w = _fit(x, np.array([r.good for r in rows], float))
+    w = _fit((shape - center) / scale, [r.words for r in rows], np.array([r.good for r in rows], float), len(place))
     by_shape = w[: shape.shape[1]] / scale
     weights = {word: float(w[shape.shape[1] + i]) for word, i in place.items()}
     return weights, by_shape, float(w[-1] - by_shape @ center), n_good / (n_bad + n_good)

@@ -1,0 +1,6 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def sf():
+    return "/root/testdata/sf0.001"
