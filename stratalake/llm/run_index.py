@@ -27,7 +27,7 @@ from .shingles import STRETCH, mix, powers, text_bytes
 
 GRAM = 24
 #: Runs of one gram that are compared as one block.
-BLOCK = 1024
+BLOCK = 8192
 
 
 def _anchors(raw: np.ndarray, offsets: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> tuple:
@@ -132,9 +132,11 @@ def matching_statistics(gram: np.ndarray, before: list[bytes], after: list[bytes
     reach, p = length - GRAM, powers()
     left, right = np.array([len(v) for v in before]), np.array([len(v) for v in after])
     joined = b"".join(v.rjust(reach, b"\0") + w.ljust(length, b"\0") for v, w in zip(before, after, strict=True))
-    cells = np.frombuffer(joined, np.uint8).reshape(-1, reach + length).astype(np.uint64) + np.uint64(1)
+    joined = np.frombuffer(joined, np.uint8).reshape(-1, reach + length)
     sums = np.zeros((reach + length + 1, len(gram)), np.uint64)
-    np.cumsum((cells * p[: reach + length]).T, axis=0, out=sums[1:])
+    for part in range(0, len(gram), 2000):  # unfolded to eight bytes a byte
+        cells = joined[part : part + 2000].astype(np.uint64) + np.uint64(1)
+        sums[1:, part : part + 2000] = np.cumsum((cells * p[: reach + length]).T, axis=0)
     own = mix(gram.astype(np.uint64))
     most_left, most_right = np.zeros(len(gram), np.int64), np.zeros(len(gram), np.int64)
     for start in range(reach, -1, -1):  # bytes before the anchor: reach - start

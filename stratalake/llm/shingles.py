@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed together; longer texts are cut between words.
-STRETCH = 1 << 21
+STRETCH = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _POWERS: list[np.ndarray] = []

@@ -212,15 +212,15 @@ def test_a_seed_is_followed_by_its_neighbours():
 
 
 def test_quality_on_documents_held_out(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     fit, held = labels.filter("doc_id % 4 != 0"), labels.filter("doc_id % 4 = 0")
     held = held.groupBy("doc_id").agg({"quality": "min", "toxic": "max"}).toDF("doc_id", "label", "toxic")
     judged = site_quality(docs, fit).join(held, "doc_id").collect()
     clean = [r.kept for r in judged if r.label == 1 and r.toxic == 0]
     junk = [r.kept for r in judged if r.label == 0]
-    assert len(clean) > 40 and np.mean(clean) > 0.95
-    assert len(junk) > 5 and np.mean(junk) < 0.3
+    assert len(clean) > 400 and np.mean(clean) > 0.95
+    assert len(junk) > 50 and np.mean(junk) < 0.1
 
 
 def test_quality_of_awkward_rows(spark):
