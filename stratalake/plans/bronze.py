@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.audit import as_utc, file_lineage, with_audit
 from stratalake.sources.landing import read_landing
-from stratalake.sources.sinks import batch_path, require_distinct, write_batch
+from stratalake.sources.sinks import STEP, batch_path, refuse_children, require_distinct, write_batch
 from stratalake.tables import CORRUPT, CORRUPT_FIELD, TableSpec, spec_for
 
 
@@ -53,7 +53,9 @@ def ingest(
     the malformed rows as well, each with its raw text; ``read_bronze`` leaves
     them out, and a copy goes to the dead-letter path. ``strict`` (with a
     dead-letter path) treats a missing key as malformed. ``lineage="file"``
-    records the file of each row in place of the landing path.
+    records the file of each row in place of the landing path. A batch ingested
+    again without ``dead_letter`` keeps the letters of its earlier ingest. A Bronze
+    path written by the incremental ingest is refused.
     """
     spec = spec_for(table)
     require_distinct(landing, bronze)
@@ -61,6 +63,7 @@ def ingest(
         raise ValueError("strict needs a dead_letter path for the rows it rejects")
     if lineage not in ("landing", "file"):
         raise ValueError(f"lineage must be 'landing' or 'file', not {lineage!r}")
+    refuse_children(spark, bronze, STEP)
 
     moment = as_utc(ingested_at)
     source = file_lineage() if lineage == "file" else (source_name or landing)

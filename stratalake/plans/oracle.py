@@ -177,7 +177,10 @@ FROM {star.ORDERS_FROM} WHERE {star.DAMAGE} < 6""",
     f" WHERE {star.DAMAGE} >= 6",
     "bronze_metrics": f"""SELECT 'orders' AS table_name, DATE '2001-08-01' AS batch_date,
  count(*) AS rows, count(*) FILTER ({star.DAMAGE} < 6) AS rejected FROM {star.ORDERS_FROM}""",
-    "bronze_incremental": f"SELECT {_columns(star.ORDERS)} FROM {star.ORDERS_FROM}",
+    "bronze_incremental": f"SELECT {_columns(PERMISSIVE)} FROM {star.ORDERS_FROM}",
+    "bronze_incremental_dead_letter": f"""SELECT {star.RAW_ORDER_LINE} AS raw_line,
+ 'landing/orders' AS source_file, DATE '2001-08-01' AS batch_date
+FROM {star.ORDERS_FROM} WHERE {star.DAMAGE} < 6""",
     "silver_orders": f"""WITH {CLEAN}
 SELECT * REPLACE (cast(_ingested_at AS date) AS _ingested_at) FROM silver_orders""",
     "silver_customers": f"WITH {CLEAN} SELECT * FROM silver_customers",

@@ -143,16 +143,40 @@ def bronze_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CSV landing consumed by the incremental ingest, then once more without new files."""
+def _incremental_run(spark: SparkSession, sf_dir: str, with_letters: bool) -> tuple[str, str]:
+    """The damaged CSV landing consumed by the incremental ingest, then once more without new files."""
     root = scratch_dir(spark, "incremental")
-    landing, stored = child(root, "landing"), child(root, "bronze")
-    star.write_csv_landing(_landing_orders(spark, sf_dir), landing)
+    letters = child(root, "letters") if with_letters else None
+    landing = _raw_landing(spark, sf_dir)
     for _ in range(2):
-        ingest_new_files(spark, "orders", landing, stored, child(root, "progress"))
+        ingest_new_files(
+            spark,
+            "orders",
+            landing,
+            child(root, "bronze"),
+            child(root, "progress"),
+            dead_letter=letters,
+            lineage="landing",
+            source_name="landing/orders",
+            ingested_at=LANDED_AT,
+        )
+    return child(root, "bronze"), letters
+
+
+def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, _ = _incremental_run(spark, sf_dir, with_letters=False)
     return read_bronze(spark, "orders", stored).select(*ORDERS.landing.names)
 
 
+def bronze_incremental_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, letters = _incremental_run(spark, sf_dir, with_letters=True)
+    return bronze.read_dead_letters(spark, "orders", letters).select(
+        F.col(CORRUPT).alias("raw_line"),
+        F.col(SOURCE_FILE).alias("source_file"),
+        F.col(BATCH_DATE).alias("batch_date"),
+    )
+
+
 # Silver
 
 
@@ -293,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "bronze_accepted": bronze_accepted,
     "bronze_metrics": bronze_metrics,
     "bronze_incremental": bronze_incremental,
+    "bronze_incremental_dead_letter": bronze_incremental_dead_letter,
     "silver_orders": silver_orders,
     "silver_customers": silver_customers,
     "silver_products": silver_products,

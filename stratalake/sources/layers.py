@@ -32,7 +32,8 @@ def read_bronze(
     The declared schema saves reading file footers and lets batches with and
     without the reject marker be read together.
     """
-    stored = spark.read.schema(spec_for(table).bronze).parquet(path)
+    spec = spec_for(table)
+    stored = spark.read.schema(spec.bronze).parquet(path).select(*spec.bronze.names)
     return _batches(stored.where(F.col(CORRUPT).isNull()).drop(CORRUPT), since, until)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.tables import BATCH_DATE
@@ -22,6 +22,18 @@ def require_distinct(source: str, target: str) -> None:
         raise ValueError(f"source and target are the same path: {source}")
 
 
+#: Directory level of the incremental ingest's steps.
+STEP = "_step"
+
+
+def refuse_children(spark: SparkSession, root: str, level: str) -> None:
+    """Refuse a path laid out by the other kind of ingest, whose rows a reader would miss."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(child(root, f"{level}=*"))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    if found:
+        raise ValueError(f"{root} holds {level} directories: it belongs to another kind of ingest")
+
+
 def batch_path(root: str, batch: date) -> str:
     """Directory of one batch, in the layout partition discovery expects."""
     return child(root, f"{BATCH_DATE}={batch.isoformat()}")

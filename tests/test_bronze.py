@@ -1,6 +1,7 @@
 """Landing scans, audit columns, batches and dead letters."""
 
 from datetime import date, datetime, timezone
+import os
 from pathlib import Path
 
 import pytest
@@ -263,15 +264,49 @@ def test_source_and_target_must_differ(spark, path):
 def test_incremental_ingest_reads_each_file_once(spark, path):
     args = (spark, "orders", path("landing"), path("bronze"), path("progress"))
     write_file(path("landing", "a.csv"), [ORDER.format("a", 1), ORDER.format("b", "x")])
-    ingest_new_files(*args, ingested_at=DAY1)
+    first = ingest_new_files(*args, ingested_at=DAY1, dead_letter=path("dead"))
+    assert (first.rows, first.rejected) == (2, 1)
     write_file(path("landing", "b.csv"), [ORDER.format("c", 1)])
     write_file(path("landing", "c.csv"), [ORDER.format("d", 1)])
-    ingest_new_files(*args, ingested_at=DAY2, files_per_step=1, dead_letter=path("dead2"))
-    ingest_new_files(*args, ingested_at=DAY1, dead_letter=path("dead"))
+    old = DAY1.timestamp() - 30 * 86_400
+    os.utime(path("landing", "c.csv"), (old, old))
+    second = ingest_new_files(*args, ingested_at=DAY2, files_per_step=1, dead_letter=path("dead"))
+    assert (second.rows, second.rejected) == (2, 0)
+    assert ingest_new_files(*args, ingested_at=DAY2, dead_letter=path("dead")).rows == 0
     letters = bronze.read_dead_letters(spark, "orders", path("dead")).collect()
-    raw = ORDER.format("b", "x")
-    assert [(r._corrupt_record, r._batch_date.day) for r in letters] == [(raw, 15)]
-    assert bronze.read_dead_letters(spark, "orders", path("dead2")).count() == 0
+    assert [(r._corrupt_record, r._batch_date.day) for r in letters] == [(ORDER.format("b", "x"), 15)]
     rows = read_bronze(spark, "orders", path("bronze")).collect()
     assert sorted((r.order_id, r._batch_date.day) for r in rows) == [("a", 15), ("c", 16), ("d", 16)]
     assert {r._source_file.rsplit("/", 1)[1] for r in rows} == {"a.csv", "b.csv", "c.csv"}
+
+
+def test_incremental_ingest_keeps_damaged_rows_without_letters(spark, path):
+    write_file(path("landing", "a.csv"), [ORDER.format("a", 1), ORDER.format("b", "x"), ORDER.format("c", 2) + ",more"])
+    done = ingest_new_files(spark, "orders", path("landing"), path("bronze"), path("progress"), ingested_at=DAY1)
+    assert (done.rows, done.rejected) == (3, 0)
+    rows = {r.order_id: r.quantity for r in read_bronze(spark, "orders", path("bronze")).collect()}
+    assert rows == {"a": 1, "b": None, "c": 2}
+
+
+def test_a_step_that_failed_before_its_commit_is_replaced(spark, path):
+    args = (spark, "orders", path("landing"), path("bronze"), path("progress"))
+    write_file(path("landing", "a.csv"), [ORDER.format("a", 1), ORDER.format("b", "x")])
+    ingest_new_files(*args, ingested_at=DAY1, dead_letter=path("dead"))
+    for name in ("0", ".0.crc"):  # as if the driver had stopped before the commit
+        (Path(path("progress")) / "commits" / name).unlink(missing_ok=True)
+    again = ingest_new_files(*args, ingested_at=DAY2, dead_letter=path("dead"))
+    assert (again.rows, again.rejected) == (2, 1)
+    rows = read_bronze(spark, "orders", path("bronze")).collect()
+    assert [(r.order_id, r._batch_date.day) for r in rows] == [("a", 16)]
+    letters = bronze.read_dead_letters(spark, "orders", path("dead")).collect()
+    assert [r._batch_date.day for r in letters] == [16]
+
+
+def test_the_two_ingests_refuse_each_others_paths(spark, path):
+    write_file(path("landing", "a.csv"), [ORDER.format("a", 1)])
+    bronze.ingest(spark, "orders", path("landing"), path("batch"), ingested_at=DAY1)
+    with pytest.raises(ValueError, match="another kind of ingest"):
+        ingest_new_files(spark, "orders", path("landing"), path("batch"), path("p1"))
+    ingest_new_files(spark, "orders", path("landing"), path("steps"), path("p2"), ingested_at=DAY1)
+    with pytest.raises(ValueError, match="another kind of ingest"):
+        bronze.ingest(spark, "orders", path("landing"), path("steps"), ingested_at=DAY1)
