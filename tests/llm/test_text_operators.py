@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratalake.llm.common import table
@@ -215,7 +216,7 @@ def test_quality_on_documents_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     fit, held = labels.filter("doc_id % 4 != 0"), labels.filter("doc_id % 4 = 0")
-    held = held.groupBy("doc_id").agg({"quality": "min", "toxic": "max"}).toDF("doc_id", "label", "toxic")
+    held = held.groupBy("doc_id").agg(F.min("quality").alias("label"), F.max("toxic").alias("toxic"))
     judged = site_quality(docs, fit).join(held, "doc_id").collect()
     clean = [r.kept for r in judged if r.label == 1 and r.toxic == 0]
     junk = [r.kept for r in judged if r.label == 0]
