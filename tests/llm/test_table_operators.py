@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from stratalake.llm.common import table
@@ -14,6 +15,11 @@ from stratalake.llm.url_cascade import Cascade, url_verdicts
 from stratalake.llm.warc_index import loser_tree, warc_index
 
 
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
 def brute_cosine(rows, threshold=0.9):
     fit = [(i, np.array(v, float)) for i, (k, v) in enumerate(rows) if k is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     links = {i: set() for i in range(len(rows))}

@@ -21,6 +21,11 @@ from stratalake.llm.shingle_forest import prefix_length, shingle_join
 from stratalake.llm.site_quality import site_quality
 from stratalake.llm.token_blocks import decode_shard, encode_shard, read_tokens, token_blocks, write_tokens
 
+@pytest.fixture(scope="module")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
 WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 
 
