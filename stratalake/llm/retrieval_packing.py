@@ -37,18 +37,20 @@ def _tokenizer(path: str, end: int, window: int):
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(path)
+        closing = np.array([end], known.dtype).tobytes()
+        order = mix(np.arange(1, known.tokenizer.get_vocab_size() + 1, dtype=np.uint64)) >> np.uint64(1)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 tails, counts, crcs, keys = [], [], [], []
                 for text in part.column("text"):
-                    ids = np.append(np.frombuffer(known.encode(text.as_py()), known.dtype), known.dtype.type(end))
+                    ids = np.frombuffer(known.encode(text.as_py()) + closing, known.dtype)
                     full = len(ids) // window * window
                     crcs.append([_crc(ids[a : a + window]) for a in range(0, full, window)])
-                    tails.append(ids[full:].astype("<u4" if known.dtype.itemsize > 2 else "<u2").tobytes())
+                    tails.append(ids[full:].tobytes())
                     counts.append(len(ids))
                     # documents with similar ids are likely to have the same least hash, and so to share a shard
-                    keys.append(int(mix(ids[full:].astype(np.uint64) + np.uint64(1)).min() >> np.uint64(1)) if full < len(ids) else 0)
+                    keys.append(int(order[ids[full:]].min()) if full < len(ids) else 0)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(tails, pa.binary()), pa.array(keys, pa.int64())],
                     names=["doc_id", "doc_tokens", "crcs", "tail", "key"],
@@ -63,8 +65,11 @@ class _Index:
     def __init__(self, docs: list[np.ndarray]) -> None:
         sizes = np.array([len(d) for d in docs])
         owner = np.repeat(np.arange(len(docs), dtype=np.int64), sizes)
-        pairs, tf = np.unique(np.concatenate(docs).astype(np.int64) * len(docs) + owner, return_counts=True)
-        terms, self.doc = np.divmod(pairs, len(docs))
+        ids = np.concatenate(docs)
+        small = (int(ids.max(initial=0)) + 1) * len(docs) < 1 << 32  # narrower numbers sort faster
+        kind = np.uint32 if small else np.int64
+        pairs, tf = np.unique(ids.astype(kind) * kind(len(docs)) + owner.astype(kind), return_counts=True)
+        terms, self.doc = (x.astype(np.int64) for x in np.divmod(pairs, kind(len(docs))))
         self.terms, first, df = np.unique(terms, return_index=True, return_counts=True)
         self.first, self.df = first, df
         self.idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
