@@ -36,14 +36,14 @@ def _latin(text: str) -> bool:
 
 
 class _Pieces(dict):
-    """Ids by piece, found when first asked for; of ``REMEMBERED`` pieces the half used longest ago goes."""
+    """Ids by piece, found when first asked for; of ``most`` pieces the half used longest ago goes."""
 
-    def __init__(self, find) -> None:
+    def __init__(self, find, most: int) -> None:
         super().__init__()
-        self.find, self.older = find, {}
+        self.find, self.most, self.older = find, most, {}
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= REMEMBERED // 2:
+        if len(self) >= self.most // 2:
             self.older = dict(self)
             self.clear()
         found = self.older.get(piece)
@@ -64,7 +64,7 @@ class PieceEncoder:
     tokenizer's model, which skips the steps that cannot change them.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, models
 
@@ -85,9 +85,9 @@ class PieceEncoder:
                 cache_capacity=0,  # what is remembered is remembered here
                 **{k: rules[k] for k in ("end_of_word_suffix", "continuing_subword_prefix") if rules.get(k)},
             )
-        self.heads = _Pieces(lambda piece: self._find("", piece))
-        self.rest = _Pieces(lambda piece: self._find(" ", piece))
-        self.words = _Pieces(lambda piece: self._find("", piece))
+        self.heads = _Pieces(lambda piece: self._find("", piece), remembered)
+        self.rest = _Pieces(lambda piece: self._find(" ", piece), remembered)
+        self.words = _Pieces(lambda piece: self._find("", piece), remembered)
         self.marks = self.words if self.drops_blanks else self.heads
 
     def _whole(self, text: str) -> bytes:
@@ -137,8 +137,8 @@ class PieceEncoder:
         )
 
 
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> PieceEncoder:
     """This Python worker's encoder for a vocabulary file."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
+        _ENCODERS[path] = PieceEncoder(path, remembered)
     return _ENCODERS[path]

@@ -18,6 +18,8 @@ from .shingles import mix
 #: Documents of a shard of the inverted index, terms of a query, neighbours asked for at a time.
 SHARD, TERMS, NEIGHBOURS = 4096, 24, 32
 K1, B = 1.2, 0.75
+#: Pieces of text whose ids a worker remembers; little else needs its memory here.
+REMEMBERED = 2_000_000
 _PIECE = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
           ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -36,7 +38,7 @@ def _tokenizer(path: str, end: int, window: int):
     """Per document one row: its full windows as finished pieces, and the ids of what is left."""
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(path)
+        known = encoder(path, REMEMBERED)
         closing = np.array([end], known.dtype).tobytes()
         order = mix(np.arange(1, known.tokenizer.get_vocab_size() + 1, dtype=np.uint64)) >> np.uint64(1)
         for batch in batches:
