@@ -39,7 +39,7 @@ EDGE_LINES = [
 ]
 CLEAN_EDGE = {"o1", "  o6  "}
 
-ORDER = "{},c1,p1,2024-01-15,{},29.99,0.05,online,completed"
+ORDER = "{},c1,p1,2024-01-15,{},17.25,0.2,online,completed"
 HEADER = ",".join(ORDERS.landing.names)
 DAY1 = datetime(2024, 1, 15, 8, tzinfo=timezone.utc)
 DAY2 = datetime(2024, 1, 16, 8, tzinfo=timezone.utc)
@@ -119,8 +119,8 @@ def test_json_scan_keeps_bad_records_as_null(spark, path):
         read_landing(spark, EDGE, path("landing"), "xml")
 
 
-def test_audit_columns_added(spark):
-    rows = [("ord_1", "c", "p", "2024-01-15", 2, 29.99, 0.05, "online", "completed")]
+def test_every_row_carries_its_batch(spark):
+    rows = [("line-8", "c", "p", "2024-03-02", 4, 17.25, 0.2, "partner", "shipped")]
     df = with_audit(spark.createDataFrame(rows, ORDERS.landing), "landing/orders/", DAY1)
     assert df.columns[-3:] == ["_ingested_at", "_source_file", "_batch_date"]
     row = df.withColumn("t", F.unix_timestamp("_ingested_at")).collect()[0]

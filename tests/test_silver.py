@@ -55,7 +55,7 @@ def product(spark, **change):
     return rows[0] if rows else None
 
 
-def test_null_order_id_dropped(spark):
+def test_rows_without_a_key_leave_silver(spark):
     kept = apply_rules(orders(spark, {}, {"order_id": None}), "orders").collect()
     assert [r.order_id for r in kept] == ["ord_1"]
 
@@ -72,7 +72,7 @@ def test_nonpositive_and_null_price_dropped_but_nan_passes(spark):
     assert math.isnan(cleaned(spark, unit_price=float("nan")).net_revenue)
 
 
-def test_net_revenue_computed(spark):
+def test_revenue_is_net_of_the_discount(spark):
     assert cleaned(spark).net_revenue == 180.0
 
 
@@ -87,7 +87,7 @@ def test_discount_defaults_to_zero_and_is_not_range_checked(spark):
     assert cleaned(spark, discount_pct=1.5).net_revenue == -100.0
 
 
-def test_channel_uppercased_and_status_lowercased(spark):
+def test_channels_are_tidied_and_status_lowercased(spark):
     row = cleaned(spark, channel=" online ", status=" Shipped")
     assert (row.channel, row.status) == ("ONLINE", "shipped")
 
