@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -13,6 +15,8 @@ from pyspark.sql import functions as F
 
 from stratalake.session import scratch_dir
 
+from . import encode
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,8 +29,33 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``mapInArrow``, with this package sent to the executors so that they can import it."""
+def _return_memory() -> None:
+    """Give back what was freed but is still held; allocators keep it for a process that Spark uses again."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def _tidy(function: Callable, encodes: bool) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not encodes:
+            encode.forget()
+        _return_memory()
+        yield from function(batches)
+        _return_memory()
+
+    return run
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str, encodes: bool = False) -> DataFrame:
+    """``mapInArrow``, with this package sent to the executors so that they can import it.
+
+    Python workers serve one operator after the other. Only functions that encode
+    texts (``encodes``) find what a worker remembers of tokenizers; others drop it.
+    """
     context = df.sparkSession.sparkContext
     if getattr(context, "_stratalake_sent", None) is None:
         package = Path(__file__).resolve().parents[1]
@@ -36,7 +65,7 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
                 z.write(file, file.relative_to(package.parent))
         context.addPyFile(str(archive))
         context._stratalake_sent = archive
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_tidy(function, encodes), schema)
 
 
 def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:

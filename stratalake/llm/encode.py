@@ -142,3 +142,8 @@ def encoder(path: str, remembered: int = REMEMBERED) -> PieceEncoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = PieceEncoder(path, remembered)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Drop this Python worker's encoders and the pieces they remember."""
+    _ENCODERS.clear()

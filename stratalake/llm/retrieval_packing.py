@@ -213,7 +213,7 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = 2048) -> DataFr
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     width = encoder(path).dtype.itemsize
     tokens = written(
-        map_arrow(rows, _tokenizer(path, end, window), "doc_id long, doc_tokens long, crcs array<long>, tail binary, key long"), "token-tails"
+        map_arrow(rows, _tokenizer(path, end, window), "doc_id long, doc_tokens long, crcs array<long>, tail binary, key long", encodes=True), "token-tails"
     )
     long = map_arrow(tokens.filter("size(crcs) > 0").select("doc_id", "doc_tokens", "crcs"), _windows(window), _SCHEMA)
     tails = tokens.filter("octet_length(tail) > 0").select("doc_id", "doc_tokens", "tail", "key")

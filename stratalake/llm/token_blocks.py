@@ -174,7 +174,7 @@ def write_tokens(docs: DataFrame, path: str, end: int | None, folder: str, shard
     )
     # Long texts: few rows an Arrow batch is what bounds a task's memory.
     dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    found = map_arrow(dealt, _writer(folder, path, end, shard_ids), _MANIFEST)
+    found = map_arrow(dealt, _writer(folder, path, end, shard_ids), _MANIFEST, encodes=True)
     found.write.parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
 
