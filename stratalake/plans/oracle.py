@@ -55,17 +55,21 @@ def _avg_money(column: str) -> str:
     )
 
 
-STAGED = f"""staged_orders AS (
- SELECT {_columns({**star.ORDERS, **star.ORDERS_AUDIT})}
+def _staged(orders_audit: dict[str, str], master_audit: dict[str, str]) -> str:
+    return f"""staged_orders AS (
+ SELECT {_columns({**star.ORDERS, **orders_audit})}
  FROM {star.ORDERS_FROM}),
 staged_customers AS (
- SELECT {_columns({**star.CUSTOMERS, **star.MASTER_AUDIT})}
+ SELECT {_columns({**star.CUSTOMERS, **master_audit})}
  FROM {star.CUSTOMERS_FROM}),
 staged_products AS (
- SELECT {_columns({**star.PRODUCTS, **star.MASTER_AUDIT})}
+ SELECT {_columns({**star.PRODUCTS, **master_audit})}
  FROM {star.PRODUCTS_FROM})"""
 
 
+STAGED = _staged(star.ORDERS_AUDIT, star.MASTER_AUDIT)
+
+
 def _clean_orders(name: str, source: str) -> str:
     return f"""{name} AS (
  SELECT order_id, customer_id, product_id, {_date('order_date')} AS order_date, quantity,
@@ -83,21 +87,28 @@ ORDER_TIES = [
     "channel", "status", "_source_file", "_batch_date",
 ]
 
-CLEAN = f"""{STAGED},
+SECONDS = "cast(epoch(_ingested_at) AS bigint) AS _ingested_at"
+
+
+def _cleaned(staged: str) -> str:
+    return f"""{staged},
 {_clean_orders('clean_orders', 'staged_orders')},
 silver_orders AS ({_latest('clean_orders', 'order_id', [*ORDER_TIES, 'net_revenue'])}),
 silver_customers AS (
  SELECT customer_id, {_title(_trim('first_name'))} AS first_name,
   {_title(_trim('last_name'))} AS last_name, lower({_trim('email')}) AS email,
   {_title(_trim('country'))} AS country, {_date('registration_date')} AS registration_date,
-  coalesce(is_active, true) AS is_active, _source_file, _batch_date
+  coalesce(is_active, true) AS is_active, _ingested_at, _source_file, _batch_date
  FROM staged_customers WHERE customer_id IS NOT NULL AND email IS NOT NULL),
 silver_products AS (
  SELECT product_id, {_trim('product_name')} AS product_name,
-  {_title(_trim('category'))} AS category, unit_price, unit_cost, _source_file, _batch_date,
+  {_title(_trim('category'))} AS category, unit_price, unit_cost, _ingested_at, _source_file, _batch_date,
   {_cents('(unit_price - unit_cost) / unit_price * 100')} AS margin_pct
  FROM staged_products WHERE product_id IS NOT NULL AND unit_price > 0)"""
 
+
+CLEAN = _cleaned(STAGED)
+
 PROFILE = f"""profile AS (
  SELECT customer_id,
   cast(date_diff('day', max(order_date), {AS_OF}) AS integer) AS recency_days,
@@ -119,10 +130,19 @@ DAILY = f"""SELECT order_date, channel, count(order_id) AS total_orders,
  cast(sum(quantity) AS bigint) AS units_sold, count(DISTINCT customer_id) AS unique_customers
 FROM silver_orders WHERE status IN ('completed', 'shipped') GROUP BY order_date, channel"""
 
-CUSTOMER_METRICS = f"""WITH {CLEAN}, {PROFILE}
-SELECT p.*, {TIER}, {CHURN}, c.first_name, c.last_name, c.email, c.country
+CUSTOMER_METRICS = f"""SELECT p.*, {TIER}, {CHURN}, c.first_name, c.last_name, c.email, c.country
 FROM profile p LEFT JOIN silver_customers c ON p.customer_id = c.customer_id"""
 
+PRODUCT_PERFORMANCE = f"""sold AS (
+ SELECT product_id, cast(sum(quantity) AS bigint) AS units_sold,
+  {_sum_money('net_revenue')} AS total_revenue, count(order_id) AS total_orders,
+  count(DISTINCT customer_id) AS unique_buyers
+ FROM silver_orders WHERE status <> 'cancelled' GROUP BY product_id)
+SELECT s.*, p.product_name, p.category, p.unit_price, p.unit_cost, p.margin_pct,
+ {SECONDS}, _source_file, _batch_date,
+ {_cents('s.total_revenue - p.unit_cost * s.units_sold')} AS gross_profit
+FROM sold s LEFT JOIN silver_products p ON s.product_id = p.product_id"""
+
 LANDING = ", ".join(star.ORDERS)
 
 # What a permissive read makes of each kind of damaged line.
@@ -145,12 +165,12 @@ JSON = {
 }
 
 # One batch of CSV files: all audit values are equal, the other columns settle ties.
-FULL_RUN = f"""WITH landed AS (
- SELECT {_columns(star.ORDERS)}, TIMESTAMP '2001-08-01 06:00:00' AS _ingested_at,
-  '' AS _source_file, DATE '2001-08-01' AS _batch_date FROM {star.ORDERS_FROM}),
-{_clean_orders('clean_orders', 'landed')},
-silver_orders AS ({_latest('clean_orders', 'order_id', [*ORDER_TIES, 'net_revenue'])})
-{DAILY}"""
+ONE_BATCH = {
+    "_ingested_at": "TIMESTAMP '2001-08-01 06:00:00'",
+    "_source_file": "''",
+    "_batch_date": "DATE '2001-08-01'",
+}
+FULL_RUN = _cleaned(_staged(ONE_BATCH, ONE_BATCH))
 
 WORDS = """SELECT word, count(*) AS count
  FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS word FROM documents)
@@ -165,6 +185,8 @@ ORACLE: dict[str, str] = {
  'landing/orders' AS source_file, DATE '2001-08-01' AS batch_date FROM {star.ORDERS_FROM}""",
     "bronze_roundtrip": f"""WITH {STAGED}
 SELECT {LANDING},
+ cast(epoch(CASE WHEN _batch_date < DATE '1998-01-01' THEN TIMESTAMP '1998-01-01 00:00:00'
+  ELSE TIMESTAMP '2002-01-01 00:00:00' END) AS bigint) AS _ingested_at,
  CASE WHEN _batch_date < DATE '1998-01-01' THEN 'landing/early' ELSE 'landing/late' END
   AS _source_file,
  CASE WHEN _batch_date < DATE '1998-01-01' THEN DATE '1998-01-01' ELSE DATE '2002-01-01' END
@@ -182,35 +204,31 @@ FROM {star.ORDERS_FROM} WHERE {star.DAMAGE} < 6""",
  'landing/orders' AS source_file, DATE '2001-08-01' AS batch_date
 FROM {star.ORDERS_FROM} WHERE {star.DAMAGE} < 6""",
     "silver_orders": f"""WITH {CLEAN}
-SELECT * REPLACE (cast(_ingested_at AS date) AS _ingested_at) FROM silver_orders""",
-    "silver_customers": f"WITH {CLEAN} SELECT * FROM silver_customers",
-    "silver_products": f"WITH {CLEAN} SELECT * FROM silver_products",
+SELECT * REPLACE ({SECONDS}) FROM silver_orders""",
+    "silver_customers": f"WITH {CLEAN} SELECT * REPLACE ({SECONDS}) FROM silver_customers",
+    "silver_products": f"WITH {CLEAN} SELECT * REPLACE ({SECONDS}) FROM silver_products",
     "silver_net_revenue": f"""WITH {CLEAN}
 SELECT order_id, _source_file, quantity, unit_price, discount_pct, net_revenue
 FROM clean_orders""",
     "silver_margin_pct": f"""WITH {CLEAN}
 SELECT product_id, unit_price, unit_cost, margin_pct FROM silver_products""",
     "silver_dedup": f"""WITH {STAGED}
-SELECT * REPLACE (cast(_ingested_at AS date) AS _ingested_at)
+SELECT * REPLACE ({SECONDS})
 FROM ({_latest('staged_orders', 'order_id', ORDER_TIES)})""",
     "silver_parquet_scan": f"""WITH {CLEAN}
-SELECT * EXCLUDE (_ingested_at) FROM silver_orders""",
+SELECT * REPLACE ({SECONDS}) FROM silver_orders""",
     "gold_daily_revenue": f"WITH {CLEAN} {DAILY}",
-    "gold_customer_metrics": CUSTOMER_METRICS,
-    "gold_product_performance": f"""WITH {CLEAN}, sold AS (
- SELECT product_id, cast(sum(quantity) AS bigint) AS units_sold,
-  {_sum_money('net_revenue')} AS total_revenue, count(order_id) AS total_orders,
-  count(DISTINCT customer_id) AS unique_buyers
- FROM silver_orders WHERE status <> 'cancelled' GROUP BY product_id)
-SELECT s.*, p.product_name, p.category, p.unit_price, p.unit_cost, p.margin_pct,
- {_cents('s.total_revenue - p.unit_cost * s.units_sold')} AS gross_profit
-FROM sold s LEFT JOIN silver_products p ON s.product_id = p.product_id""",
+    "gold_customer_metrics": f"WITH {CLEAN}, {PROFILE} {CUSTOMER_METRICS}",
+    "gold_product_performance": f"WITH {CLEAN}, {PRODUCT_PERFORMANCE}",
     "gold_ltv_tier": f"WITH {CLEAN}, {PROFILE}"
     f" SELECT customer_id, lifetime_value_usd, {TIER} FROM profile",
     "gold_churn_risk": f"WITH {CLEAN}, {PROFILE}"
     f" SELECT customer_id, recency_days, purchase_frequency, {CHURN} FROM profile",
-    "gold_roundtrip": CUSTOMER_METRICS,
-    "full_run_daily_revenue": FULL_RUN,
+    "gold_roundtrip": f"WITH {CLEAN}, {PROFILE} {CUSTOMER_METRICS}",
+    "full_run_daily_revenue": f"WITH {FULL_RUN} {DAILY}",
+    "full_run_customer_metrics": f"WITH {FULL_RUN}, {PROFILE} {CUSTOMER_METRICS}",
+    "full_run_product_performance": f"""SELECT * EXCLUDE (_source_file)
+FROM (WITH {FULL_RUN}, {PRODUCT_PERFORMANCE})""",
     "word_count": WORDS,
     "word_count_merge": WORDS,
     "word_count_tsv": f"SELECT word || chr(9) || count AS value FROM ({WORDS})",

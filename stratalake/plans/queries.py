@@ -29,7 +29,7 @@ LANDED_AT = datetime(2001, 8, 1, 6, tzinfo=timezone.utc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_PRODUCT_METADATA = (INGESTED_AT, SOURCE_FILE, BATCH_DATE)
+_METADATA = (INGESTED_AT, SOURCE_FILE, BATCH_DATE)
 
 
 def _landing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,11 @@ def _silver_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.refined(star.staged_products(spark, sf_dir), "products")
 
 
+def _in_seconds(df: DataFrame) -> DataFrame:
+    """The ingest time as whole seconds, which every SQL engine can state alike."""
+    return df.withColumn(INGESTED_AT, F.unix_timestamp(INGESTED_AT))
+
+
 def _raw_landing(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_dir(spark, "raw-landing")
     star.write_raw_landing(star.raw_order_lines(spark, sf_dir), path)
@@ -102,7 +107,7 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
             ingested_at=moment,
         )
     stored = read_bronze(spark, "orders", child(root, "bronze"))
-    return stored.drop(INGESTED_AT)
+    return _in_seconds(stored)
 
 
 def _dead_letter_run(spark: SparkSession, sf_dir: str) -> tuple[str, str, bronze.IngestResult]:
@@ -181,15 +186,15 @@ def bronze_incremental_dead_letter(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_orders(spark, sf_dir).withColumn(INGESTED_AT, F.to_date(INGESTED_AT))
+    return _in_seconds(_silver_orders(spark, sf_dir))
 
 
 def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_customers(spark, sf_dir).drop(INGESTED_AT)
+    return _in_seconds(_silver_customers(spark, sf_dir))
 
 
 def silver_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_products(spark, sf_dir).drop(INGESTED_AT)
+    return _in_seconds(_silver_products(spark, sf_dir))
 
 
 def silver_net_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,14 +213,14 @@ def silver_margin_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest delivery per key on raw rows; all rows without a key are one group."""
     latest = latest_per_key(star.staged_orders(spark, sf_dir), "order_id")
-    return latest.withColumn(INGESTED_AT, F.to_date(INGESTED_AT))
+    return _in_seconds(latest)
 
 
 def silver_parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitioned Silver files, written and read back."""
     path = scratch_dir(spark, "silver-scan")
     write_partitioned(_silver_orders(spark, sf_dir), path)
-    return read_silver(spark, "orders", path).drop(INGESTED_AT)
+    return _in_seconds(read_silver(spark, "orders", path))
 
 
 # Gold
@@ -235,7 +240,7 @@ def gold_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     performance = rollups.product_performance(
         _silver_orders(spark, sf_dir), _silver_products(spark, sf_dir)
     )
-    return performance.drop(*_PRODUCT_METADATA)
+    return _in_seconds(performance)
 
 
 def gold_ltv_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,19 +274,32 @@ def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(child(copy, "customer_metrics"))
 
 
-def full_run_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files of all three tables taken through every layer; daily revenue at the end."""
+def _full_run(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """CSV files of all three tables taken through every layer; one Gold table at the end."""
     lake = full_run.Lake(scratch_dir(spark, "full-run"))
     staged = {
         "orders": star.staged_orders,
         "customers": star.staged_customers,
         "products": star.staged_products,
     }
-    for table, stage in staged.items():
-        rows = stage(spark, sf_dir).drop(*_PRODUCT_METADATA)
-        star.write_csv_landing(rows, lake.path("landing", table))
+    for name, stage in staged.items():
+        rows = stage(spark, sf_dir).drop(*_METADATA)
+        star.write_csv_landing(rows, lake.path("landing", name))
     full_run.run(spark, lake, dead_letters=True, ingested_at=LANDED_AT, as_of=AS_OF)
-    return spark.read.parquet(lake.path("gold", "daily_revenue_by_channel"))
+    return spark.read.parquet(lake.path("gold", table))
+
+
+def full_run_daily_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_run(spark, sf_dir, "daily_revenue_by_channel")
+
+
+def full_run_customer_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _full_run(spark, sf_dir, "customer_metrics")
+
+
+def full_run_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without the files' paths, which differ from run to run."""
+    return _in_seconds(_full_run(spark, sf_dir, "product_performance").drop(SOURCE_FILE))
 
 
 # Text
@@ -332,6 +350,8 @@ QUERIES: dict[str, Query] = {
     "gold_churn_risk": gold_churn_risk,
     "gold_roundtrip": gold_roundtrip,
     "full_run_daily_revenue": full_run_daily_revenue,
+    "full_run_customer_metrics": full_run_customer_metrics,
+    "full_run_product_performance": full_run_product_performance,
     "word_count": word_counts,
     "word_count_merge": word_count_merge,
     "word_count_tsv": word_count_tsv,

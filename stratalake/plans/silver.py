@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratalake.operators.cleaning import derived, tidied, valid_rows
 from stratalake.operators.dedup import latest_per_key
 from stratalake.sources.layers import read_bronze, read_silver
 from stratalake.sources.sinks import require_distinct, write_partitioned
-from stratalake.tables import TableSpec, spec_for
+from stratalake.tables import BATCH_DATE, TableSpec, spec_for
 
 
 def refined(
@@ -30,6 +31,18 @@ def refined(
     return derived(latest_per_key(rows, spec.key), spec)
 
 
+def _refuse_gap(spark: SparkSession, table: str | TableSpec, bronze: str, previous: DataFrame, since: date) -> None:
+    """Refuse Bronze batches between the newest one in ``previous`` and ``since``; reads only their directories."""
+    newest = previous.agg(F.max(BATCH_DATE)).first()[0]
+    start = newest + timedelta(days=1) if newest else None
+    skipped = read_bronze(spark, table, bronze, since=start, until=since - timedelta(days=1))
+    if row := skipped.select(BATCH_DATE).first():
+        raise ValueError(
+            f"Bronze batch {row[0]} lies between the earlier version (up to {newest}) and since={since};"
+            " start from that batch or an older one"
+        )
+
+
 def refine(
     spark: SparkSession,
     table: str | TableSpec,
@@ -44,7 +57,9 @@ def refine(
     By default from all Bronze batches. With ``earlier``, the path of a previous
     Silver version, only Bronze batches from ``since`` on are read and cleaned;
     that version must hold all older batches as they are now, under the same
-    rules. Either way the whole table is written anew, as a re-delivered record
+    rules. A batch between its newest batch date and ``since`` is refused: reading
+    it again does no harm, leaving it out would. Batches dated before that newest date
+    are taken to be in it. Either way the whole table is written anew, as a re-delivered record
     moves to its newest batch and must leave its old one.
     """
     if (earlier is None) != (since is None):
@@ -54,5 +69,6 @@ def refine(
     if earlier is not None:
         require_distinct(earlier, silver)
         previous = read_silver(spark, table, earlier)
+        _refuse_gap(spark, table, bronze, previous, since)
     fresh = read_bronze(spark, table, bronze, since=since)
     return write_partitioned(refined(fresh, table, previous), silver)

@@ -274,3 +274,16 @@ def test_refining_newer_batches_onto_silver_equals_a_rebuild(spark, path):
     assert as_set(read_silver(spark, "orders", path("v2"))) == rebuilt
     with pytest.raises(ValueError, match="go together"):
         silver.refine(spark, "orders", path("bronze"), path("v3"), earlier=path("v1"))
+
+
+def test_a_skipped_batch_is_refused(spark, path):
+    deliver(spark, path("bronze"), 1, {"order_id": "1"})
+    silver.refine(spark, "orders", path("bronze"), path("v1"))
+    deliver(spark, path("bronze"), 2, {"order_id": "2"})
+    deliver(spark, path("bronze"), 3, {"order_id": "3"})
+    with pytest.raises(ValueError, match="2024-01-02 lies between"):
+        silver.refine(
+            spark, "orders", path("bronze"), path("v2"), earlier=path("v1"), since=date(2024, 1, 3)
+        )
+    whole = {"earlier": path("v1"), "since": date(2024, 1, 2)}
+    assert silver.refine(spark, "orders", path("bronze"), path("v2"), **whole) == 3
