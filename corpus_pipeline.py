@@ -23,9 +23,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates; rows of one doc_id stay or go together."""
-    others = written(shingle_join(docs).filter("not kept").select("doc_id").distinct(), "duplicates")
-    return with_keys(docs, others, ["doc_id"], "left_anti")
+    """One row of each group of near duplicates, repeated rows and rows without a doc_id among them.
+
+    Each row takes part under a number of its own. Of a group the row with the least
+    doc_id stays, null last; ties go by a hash of the text, then of all columns.
+    """
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    classes = shingle_join(rows.select(F.col("__row").alias("doc_id"), "text"))
+    grouped = written(classes.filter("n_links > 0").select(F.col("doc_id").alias("__row"), "class_id"), "grouped")
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64(*docs.columns), "__row")
+    placed = with_keys(rows.select("__row", place.alias("place")), grouped.select("__row"), ["__row"]).join(grouped, "__row")
+    # a minimum per group is combined before the shuffle, so a large group does not meet in one task
+    first = placed.groupBy("class_id").agg(F.min("place").alias("place")).select(F.col("place.__row").alias("__row"))
+    others = written(grouped.select("__row").join(first, "__row", "left_anti"), "duplicates")
+    return with_keys(rows, others, ["__row"], "left_anti").drop("__row")
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
