@@ -46,7 +46,7 @@ def _sketcher(size: int, trees: int, length: int):
             for row, sets in shingle_sets(batch.column("text"), size):
                 counts = np.array([len(s) for s in sets])
                 some = np.flatnonzero(counts)
-                ids = batch.column("doc_id").slice(row, len(sets))
+                ids, texts = (batch.column(c).slice(row, len(sets)) for c in ("doc_id", "tid"))
                 d1, d2 = np.zeros((2, len(sets)), np.uint64)
                 keys = np.zeros((len(sets), trees), np.uint64)
                 low = np.zeros((len(sets), trees * length), np.uint8)
@@ -61,10 +61,10 @@ def _sketcher(size: int, trees: int, length: int):
                         tree = j // length
                         keys[some, tree] = mix(keys[some, tree] * np.uint64(31) + least + np.uint64(tree + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(counts, pa.int32()),
+                    [ids, texts, pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), pa.array(counts, pa.int32()),
                      pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, trees), pa.int32()), pa.array(keys.reshape(-1).view(np.int64))),
                      pa.array([x.tobytes() for x in low], pa.binary())],
-                    names=["doc_id", "d1", "d2", "n", "keys", "low"],
+                    names=["doc_id", "tid", "d1", "d2", "n", "keys", "low"],
                 )
 
     return sketch
@@ -188,8 +188,8 @@ def shingle_join(docs: DataFrame, size: int = 5, threshold: float = 0.8, trees:
     smallest doc_id it reaches by links, kept marks that document. Documents with equal
     sets are one class: sketched together, linked without comparing. A text of fewer
     than ``size`` words is one shingle; null texts and texts without words link with
-    nothing. Rows that repeat a doc_id count one by one and share what links them. Rows
-    without a doc_id have no links and a null class_id.
+    nothing. Rows that repeat a doc_id count one by one, each with the links of its own
+    text. Rows without a doc_id have no links and a null class_id.
 
     Buckets of one document are dropped before anything wide moves. What is left forms
     groups of candidates, each document's shingles travel to its group once, and large
@@ -198,15 +198,17 @@ def shingle_join(docs: DataFrame, size: int = 5, threshold: float = 0.8, trees:
     """
     length = prefix_length(threshold, trees, depth, recall)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("tid"), "text")
     sketches = written(
-        map_arrow(rows, _sketcher(size, trees, length), "doc_id long, d1 long, d2 long, n int, keys array<long>, low binary"), "sketches"
+        map_arrow(rows, _sketcher(size, trees, length), "doc_id long, tid long, d1 long, d2 long, n int, keys array<long>, low binary"), "sketches"
     )
     fit = sketches.filter("doc_id is not null and n > 0")
     classes = fit.groupBy("d1", "d2", "n").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
+        F.min(F.struct("doc_id", "tid")).alias("least"), F.count(F.lit(1)).alias("copies"),
         F.first("keys").alias("keys"), F.first("low").alias("low"),
     )
-    classes = written(classes, "shingle-classes")
+    # a doc_id can be in several classes, so classes have numbers of their own
+    classes = written(classes.select(F.monotonically_increasing_id().alias("rep"), "*"), "shingle-classes")
     entries = classes.select(F.explode("keys").alias("key"), "rep")
     shared = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key"), "shared")
     members = entries.join(shared, "key").join(classes.select("rep", "n", "low"), "rep").select("key", "rep", "n", "low")
@@ -215,18 +217,23 @@ def shingle_join(docs: DataFrame, size: int = 5, threshold: float = 0.8, trees:
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
     groups = written(components(map_arrow(dealt, _candidates(threshold, trees * length), "a long, b long")), "groups")
 
-    chosen = classes.select("rep", "copies").join(groups.withColumnRenamed("id", "rep"), "rep")
-    texts = rows.join(chosen, F.col("doc_id") == F.col("rep")).select("component", "rep", "copies", "text")
-    sets = map_arrow(texts, _setter(size), "component long, rep long, copies long, shingles binary")
+    chosen = classes.select("rep", "copies", "least.doc_id", "least.tid").join(groups.withColumnRenamed("id", "rep"), "rep")
+    texts = rows.join(chosen, ["doc_id", "tid"])
+    # rows that repeat a doc_id and its text are one text of their class
+    texts = texts.groupBy("doc_id", "tid", "component", "rep", "copies").agg(F.first("text").alias("text"))
+    sets = map_arrow(texts.select("component", "rep", "copies", "text"), _setter(size), "component long, rep long, copies long, shingles binary")
     keys = ["component", "left_block", "right_block"]
     dealt = in_blocks(written(sets, "sets"), ["component"], "rep", GROUP_BLOCK)
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
     links = written(map_arrow(dealt, _verifier(threshold), "a long, b long, n long"), "links")
     others = links.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     joined = components(links.filter("b is not null").select("a", "b")).withColumnRenamed("id", "rep")
-    known = written(classes.select("d1", "d2", "n", "rep", "copies").join(others, "rep", "left").join(joined, "rep", "left"), "classes")
+    known = classes.select("d1", "d2", "n", "rep", "copies", F.col("least.doc_id").alias("own")).join(others, "rep", "left").join(joined, "rep", "left")
+    known = written(known, "classes")
+    least = written(known.filter("component is not null").groupBy("component").agg(F.min("own").alias("least")), "least-ids")
+    known = known.join(least, "component", "left").select("d1", "d2", "n", "copies", "others", F.coalesce("least", "own").alias("class"))
     out = sketches.select("doc_id", "d1", "d2", F.when(F.col("doc_id").isNotNull(), F.col("n")).alias("n")).join(known, ["d1", "d2", "n"], "left")
-    out = out.withColumn("class_id", F.coalesce("component", "rep", "doc_id"))
+    out = out.withColumn("class_id", F.coalesce("class", "doc_id"))
     return out.select(
         "doc_id",
         "class_id",

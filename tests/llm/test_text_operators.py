@@ -151,13 +151,22 @@ def brute_links(rows, threshold=0.8):
 
 
 def test_similarity_join_equals_brute_force(spark, sf):
-    for rows in ([tuple(r) for r in documents(spark, sf)], [(r.doc_id, r.text) for r in awkward(spark).filter("n = 1").collect() if r.doc_id != 5]):
+    for rows in ([tuple(r) for r in documents(spark, sf)], [(r.doc_id, r.text) for r in awkward(spark).collect()]):
         docs = spark.createDataFrame(rows, "doc_id long, text string")
         found = shingle_join(docs).select("doc_id", "class_id", "n_links", "kept").collect()
         assert sorted(tuple(r)[:3] for r in found) == brute_links(rows)
         assert all(r.kept == (r.doc_id == r.class_id) for r in found)
 
 
+def test_similarity_join_of_repeated_rows(spark):
+    rng = random.Random(12)
+    one, two, three = ([f"{c}{rng.randint(0, 999)}" for _ in range(120)] for c in "abc")
+    rows = [(7, " ".join(one)), (7, " ".join(one)), (8, " ".join([*one, "end"])), (7, " ".join(two)), (9, "start " + " ".join(two)), (9, " ".join(three)), (4, "  ".join(three))]
+    rows += [(r.doc_id, r.text) for r in awkward(spark).collect()]
+    found = shingle_join(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "class_id", "n_links").collect()
+    assert sorted(map(tuple, found)) == brute_links(rows)
+
+
 def test_similarity_join_in_blocks(spark, monkeypatch):
     from stratalake.llm import shingle_forest
 
