@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -13,10 +14,12 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, written
 from .encode import encoder
-from .shingles import mix
 
-#: Documents of a shard of the inverted index, terms of a query, neighbours asked for at a time.
-SHARD, TERMS, NEIGHBOURS = 4096, 24, 32
+#: Documents of a block of the search, blocks a task searches in, neighbours listed per document.
+BLOCK, SEARCHED, NEIGHBOURS = 2048, 32, 32
+#: Share of the documents from which a term is a dense column, and additions made in one go for the other terms.
+DENSE, ADDED = 0.03, 4_000_000
+NONE = np.iinfo(np.uint32).max
 K1, B = 1.2, 0.75
 #: Pieces of text whose ids a worker remembers; little else needs its memory here.
 REMEMBERED = 2_000_000
@@ -35,154 +38,335 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _tokenizer(path: str, end: int, window: int):
-    """Per document one row: its full windows as finished pieces, and the ids of what is left."""
+    """Per document one row: its full windows as finished pieces, the ids of what is left, its terms and their counts."""
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(path, REMEMBERED)
         closing = np.array([end], known.dtype).tobytes()
-        order = mix(np.arange(1, known.tokenizer.get_vocab_size() + 1, dtype=np.uint64)) >> np.uint64(1)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                tails, counts, crcs, keys = [], [], [], []
+                tails, totals, crcs, terms, counts = [], [], [], [], []
                 for text in part.column("text"):
                     ids = np.frombuffer(known.encode(text.as_py()) + closing, known.dtype)
                     full = len(ids) // window * window
                     crcs.append([_crc(ids[a : a + window]) for a in range(0, full, window)])
                     tails.append(ids[full:].tobytes())
-                    counts.append(len(ids))
-                    # documents with similar ids are likely to have the same least hash, and so to share a shard
-                    keys.append(int(order[ids[full:]].min()) if full < len(ids) else 0)
+                    totals.append(len(ids))
+                    found, tf = np.unique(ids[full:], return_counts=True)
+                    terms.append(found.tobytes())
+                    counts.append(tf.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), pa.array(tails, pa.binary()), pa.array(keys, pa.int64())],
-                    names=["doc_id", "doc_tokens", "crcs", "tail", "key"],
+                    [part.column("doc_id"), pa.array(totals, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), *(pa.array(c, pa.binary()) for c in (tails, terms, counts))],
+                    names=["doc_id", "doc_tokens", "crcs", "tail", "terms", "counts"],
                 )
 
     return tokenize
 
 
-class _Index:
-    """Inverted index of a shard: BM25 impacts by term, over token ids."""
-
-    def __init__(self, docs: list[np.ndarray]) -> None:
-        sizes = np.array([len(d) for d in docs])
-        owner = np.repeat(np.arange(len(docs), dtype=np.int64), sizes)
-        ids = np.concatenate(docs)
-        small = (int(ids.max(initial=0)) + 1) * len(docs) < 1 << 32  # narrower numbers sort faster
-        kind = np.uint32 if small else np.int64
-        pairs, tf = np.unique(ids.astype(kind) * kind(len(docs)) + owner.astype(kind), return_counts=True)
-        terms, self.doc = (x.astype(np.int64) for x in np.divmod(pairs, kind(len(docs))))
-        self.terms, first, df = np.unique(terms, return_index=True, return_counts=True)
-        self.first, self.df = first, df
-        self.idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
-        at = np.repeat(np.arange(len(df)), df)
-        self.impact = self.idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[self.doc] / sizes.mean()))
-        # the terms of each document, by document
-        order = np.argsort(self.doc, kind="stable")
-        self.own_term, self.own_impact = at[order], self.impact[order]
-        self.own_first = np.concatenate([[0], np.cumsum(np.bincount(self.doc, minlength=len(docs)))])
-        self.n = len(docs)
-
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with ``seed``, best first."""
-        own = slice(self.own_first[seed], self.own_first[seed + 1])
-        terms, weight = self.own_term[own], self.own_impact[own]
-        if len(terms) > TERMS:
-            terms = terms[np.argpartition(-weight, TERMS)[:TERMS]]
-        where = np.concatenate([np.arange(f, f + n) for f, n in zip(self.first[terms], self.df[terms], strict=True)])
-        score = np.bincount(self.doc[where], self.impact[where], self.n)
-        score[~unused] = 0
-        best = np.argpartition(-score, min(NEIGHBOURS, self.n - 1))[:NEIGHBOURS]
-        best = best[score[best] > 0]
-        return best[np.lexsort((best, -score[best]))]
+def _frequencies(size: int, width: int):
+    """Per task, how many documents hold each term; term -1 has the ids of all documents, -2 their number."""
 
-
-def pack_shard(docs: list[np.ndarray], window: int) -> list[list[tuple[int, int, int]]]:
-    """Sequences of pieces ``(document, from, to)``: every sequence but those at the end is full.
-
-    A seed is followed by its unused neighbours; the one that does not fit is cut and
-    is the next seed. The ids left at the end go to sequences whose lengths are powers
-    of two, so that nothing is padded.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, total, n = np.zeros(size, np.int64), 0, 0
+        for batch in batches:
+            df += np.bincount(np.frombuffer(b"".join(batch.column("terms").to_pylist()), f"<u{width}"), minlength=size)
+            total += sum(batch.column("doc_tokens").to_pylist())
+            n += batch.num_rows
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_pydict({"term": np.concatenate([[-1, -2], some]), "df": np.concatenate([[total, n], df[some]])})
+
+    return count
+
+
+class _Corpus:
+    """What BM25 knows of all documents: their number and mean length, and how many hold each term."""
+
+    def __init__(self, n: int, total: int, df: np.ndarray) -> None:
+        self.mean = total / max(n, 1)
+        self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        dense = np.flatnonzero(df > DENSE * n)
+        self.column, self.width = np.full(len(df), -1, np.int32), len(dense)
+        self.column[dense] = np.arange(len(dense))
+
+
+class _Block:
+    """Documents as queries, weighted by their terms' counts, and as an index of BM25 impacts."""
+
+    def __init__(self, corpus: _Corpus, terms: np.ndarray, counts: np.ndarray, held: np.ndarray) -> None:
+        self.corpus, self.n = corpus, len(held)
+        self.owner = np.repeat(np.arange(self.n), held)
+        self.terms, self.counts = terms.astype(np.int64), counts.astype(float)
+        self.column = corpus.column[self.terms]
+
+    def _split(self, weight: np.ndarray) -> tuple:
+        dense = self.column >= 0
+        matrix = np.zeros((self.n, self.corpus.width))
+        matrix[self.owner[dense], self.column[dense]] = weight[dense]
+        return matrix, self.owner[~dense], self.terms[~dense], weight[~dense]
+
+    def query(self) -> tuple:
+        return self._split(self.counts)
+
+    def index(self) -> tuple:
+        sizes = np.bincount(self.owner, self.counts, self.n)[self.owner]
+        impact = self.corpus.idf[self.terms] * self.counts * (K1 + 1) / (self.counts + K1 * (1 - B + B * sizes / self.corpus.mean))
+        matrix, owner, terms, weight = self._split(impact)
+        order = np.argsort(terms, kind="stable")
+        return matrix, owner[order], terms[order], weight[order]
+
+
+def _scores(query: tuple, index: tuple) -> np.ndarray:
+    """BM25 of each document of ``index`` for each of ``query``, over all terms they share."""
+    score = query[0] @ index[0].T
+    flat, n = score.reshape(-1), index[0].shape[0]
+    first, last = (np.searchsorted(index[2], query[2], side) for side in ("left", "right"))
+    some = np.flatnonzero(last > first)
+    found = last[some] - first[some]
+    done = np.cumsum(found)
+    cuts = np.unique(np.searchsorted(done, np.arange(0, done[-1] if len(done) else 0, ADDED)))
+    for part in np.split(np.arange(len(some)), cuts[1:]) if len(some) else []:
+        many, own = found[part], some[part]
+        place = np.repeat(first[own] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        row = np.repeat(query[1][own], many)
+        low, high = row[0] * n, (row[-1] + 1) * n  # queries are in order
+        flat[low:high] += np.bincount(row * n + index[1][place] - low, np.repeat(query[3][own], many) * index[3][place], high - low)
+    return np.round(score, 6)  # sums of equal documents are equal
+
+
+def _best(score: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` best of each row, ties by id."""
+    order = np.lexsort((ids, -score), axis=1)[:, :most]
+    return np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
+
+
+def _add(best: tuple, score: np.ndarray, base: int, most: int) -> None:
+    """Take the scores of documents ``base``, ``base + 1`` ... into the lists ``best``; what shares no term is no neighbour."""
+    rows = np.flatnonzero(score.max(axis=1) > 0)
+    rows = rows[score[rows].max(axis=1) >= best[0][rows, -1]]
+    if not len(rows):
+        return
+    keyed = np.arange(score.shape[1]) * 1e-10 - score[rows]
+    at = np.argpartition(keyed, most - 1, axis=1)[:, :most] if score.shape[1] > most else np.broadcast_to(np.arange(score.shape[1]), keyed.shape)
+    new = np.take_along_axis(score[rows], at, 1)
+    ids = np.where(new > 0, at + base, NONE)
+    both = np.concatenate([best[0][rows], new], 1), np.concatenate([best[1][rows], ids], 1)
+    best[0][rows], best[1][rows] = _best(*both, most)
+
+
+def _empty(n: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.zeros((n, most)), np.full((n, most), NONE, np.int64)
+
+
+def walk(sizes: np.ndarray, lists: np.ndarray, window: int) -> np.ndarray:
+    """Where each document starts in one stream of all their ids that is cut into windows.
+
+    The document that is cut, or else the first of a window, is its seed. It is followed by
+    the unused documents of its list, then by those of the lists of the documents that
+    followed it, in their order, then by the first unused document.
     """
-    index = _Index(docs) if docs else None
-    unused, waiting = np.ones(len(docs), bool), 0
-    done, now, room, seed, queue = [], [], window, -1, iter(())
+    start, waiting, at, n = np.full(len(sizes), -1, np.int64), 0, 0, len(sizes)
+    used, sizes = bytearray(n), sizes.tolist()
+    held, turn, queue = [], 0, iter(())
     while True:
         nxt = -1
-        for found in queue:
-            if unused[found]:
-                nxt = int(found)
+        while nxt < 0:
+            for found in queue:
+                if found == NONE:
+                    break
+                if not used[found]:
+                    nxt = found
+                    break
+            if nxt >= 0 or turn == len(held):
                 break
-        else:
-            if seed >= 0 and unused.any():
-                queue = index.neighbours(seed, unused)
-                if len(queue):
-                    queue = iter(queue)
-                    continue
+            queue, turn = iter(lists[held[turn]].tolist()), turn + 1
         if nxt < 0:
-            while waiting < len(docs) and not unused[waiting]:
+            while waiting < n and used[waiting]:
                 waiting += 1
-            if waiting == len(docs):
-                break
-            nxt, queue = waiting, iter(())
-        unused[nxt] = False
-        at, size = 0, len(docs[nxt])
-        if seed < 0:
-            seed = nxt
-        while at < size:
-            take = min(room, size - at)
-            now.append((nxt, at, at + take))
-            at, room = at + take, room - take
-            if not room:
-                done.append(now)
-                # what is cut leads the next window; else the next unused document does
-                now, room, seed, queue = [], window, nxt if at < size else -1, iter(())
-    left = window - room
-    while left:
-        size = 1 << (left.bit_length() - 1)
-        sequence, need = [], size
-        while need:
-            doc, a, b = now.pop(0)
-            take = min(need, b - a)
-            sequence.append((doc, a, a + take))
-            if a + take < b:
-                now.insert(0, (doc, a + take, b))
-            need -= take
-        done.append(sequence)
-        left -= size
-    return done
-
-
-def _packer(window: int, width: int):
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if waiting == n:
+                return start
+            nxt = waiting
+        used[nxt] = 1
+        start[nxt] = at
+        before, at = at // window, at + sizes[nxt]
+        if at // window > before:  # what is cut leads the next window; else the next document does
+            held, turn, queue = [nxt] if at % window else [], 0, iter(())
+        else:
+            held.append(nxt)
+
+
+def _bounds(total: int, window: int) -> np.ndarray:
+    """Where the sequences of the last, partial window start: their lengths are powers of two, so nothing is padded."""
+    at, out = total // window * window, []
+    while at < total:
+        out.append(at)
+        at += 1 << ((total - at).bit_length() - 1)
+    return np.array(out, np.int64)
+
+
+def _cut(start: int, size: int, total: int, window: int, last: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Pieces of a document in the stream: from, to, number of the sequence, offset in it."""
+    a = 0
+    while a < size:
+        at = start + a
+        if at < total // window * window:
+            number, begin = at // window, at // window * window
+            stop = begin + window
+        else:
+            k = int(np.searchsorted(last, at, side="right")) - 1
+            number, begin = total // window + k, int(last[k])
+            stop = int(last[k + 1]) if k + 1 < len(last) else total
+        b = min(size, a + stop - at)
+        yield a, b, number, at - begin
+        a = b
+
+
+def pack_shard(docs: list[np.ndarray], window: int) -> list[list[tuple[int, int, int]]]:
+    """Sequences of pieces ``(document, from, to)`` of documents in memory."""
+    if not docs:
+        return []
+    found = [np.unique(d, return_counts=True) for d in docs]
+    terms, counts = (np.concatenate([f[i] for f in found]).astype(np.int64) for i in (0, 1))
+    sizes = np.array([len(d) for d in docs])
+    block = _Block(_Corpus(len(docs), int(sizes.sum()), np.bincount(terms)), terms, counts, np.array([len(f[0]) for f in found]))
+    score = _scores(block.query(), block.index())
+    np.fill_diagonal(score, 0)
+    best = _empty(len(docs), NEIGHBOURS)
+    _add(best, score, 0, NEIGHBOURS)
+    start, total = walk(sizes, best[1], window), int(sizes.sum())
+    last, out = _bounds(total, window), {}
+    for doc in np.argsort(start):
+        for a, b, number, _ in _cut(int(start[doc]), len(docs[doc]), total, window, last):
+            out.setdefault(number, []).append((int(doc), a, b))
+    return [out[k] for k in sorted(out)]
+
+
+_BLOCK = "block long, doc_ids array<long>, totals array<long>, sizes binary, tails binary, held binary, terms binary, counts binary"
+
+
+def _blocker(width: int, most: int):
+    """Rows in order as blocks of ``most`` documents, a row each."""
+
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
 
-        def shard(rows: pa.Table) -> pa.RecordBatch:
+        def one(rows: pa.Table) -> pa.RecordBatch:
             nonlocal count
-            tails = [np.frombuffer(x.as_buffer(), f"<u{width}") for x in rows["tail"]]
-            ids, totals = rows["doc_id"].to_pylist(), rows["doc_tokens"].to_pylist()
-            out = []
-            for sequence in pack_shard(tails, window):
-                number, offset = (part << 33 | count) * 2 + 1, 0
-                count += 1
-                for doc, a, b in sequence:
-                    start = totals[doc] - len(tails[doc]) + a
-                    out.append((ids[doc], start, b - a, _crc(tails[doc][a:b]), totals[doc], number, offset))
-                    offset += b - a
-            return _pieces(out)
+            tails, terms, counts = (rows[c].to_pylist() for c in ("tail", "terms", "counts"))
+            sizes, held = (np.array([len(x) // width for x in c], "<i8").tobytes() for c in (tails, terms))
+            values = {"block": part << 33 | count, "doc_ids": rows["doc_id"].to_pylist(), "totals": rows["doc_tokens"].to_pylist(), "sizes": sizes,
+                      "tails": b"".join(tails), "held": held, "terms": b"".join(terms), "counts": b"".join(counts)}
+            count += 1
+            lists = {"doc_ids": pa.list_(pa.int64()), "totals": pa.list_(pa.int64()), "block": pa.int64()}
+            return pa.RecordBatch.from_arrays([pa.array([v], lists.get(k, pa.binary())) for k, v in values.items()], names=list(values))
 
         held, size = [], 0
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            while size >= SHARD:
+            while size >= most:
                 rows = pa.Table.from_batches(held)
-                yield shard(rows.slice(0, SHARD))
-                held, size = rows.slice(SHARD).to_batches(), size - SHARD
+                yield one(rows.slice(0, most))
+                held, size = rows.slice(most).to_batches(), size - most
         if size:
-            yield shard(pa.Table.from_batches(held))
+            yield one(pa.Table.from_batches(held))
+
+    return block
+
+
+def _searcher(corpus: _Corpus, numbers: dict[int, int], width: int, block: int, most: int):
+    """For pairs of a block of queries and a block to search in, each query's best documents."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, query, name = {}, None, None
 
-    return pack
+        def read(row: dict, side: str) -> _Block:
+            kinds = (("terms", f"<u{width}"), ("counts", "<u4"), ("held", "<i8"))
+            return _Block(corpus, *(np.frombuffer(row[side + k], t) for k, t in kinds))
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["q_block"] != name:
+                    name, of = row["q_block"], read(row, "q_")
+                    query = of.query()
+                    best.setdefault(name, _empty(of.n, most))
+                score = _scores(query, read(row, "d_").index())
+                if name == row["d_block"]:
+                    np.fill_diagonal(score, 0)
+                _add(best[name], score, numbers[row["d_block"]] * block, most)
+        for name, (score, ids) in best.items():
+            yield pa.RecordBatch.from_pydict({"block": [name], "scores": [score.astype("<f8").tobytes()], "ids": [ids.astype("<u4").tobytes()]})
+
+    return search
+
+
+def _merger(most: int):
+    """The best of the lists of a block of queries, which follow each other."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, best = None, None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"block": [name], "ids": [best[1].astype("<u4").tobytes()]})
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                new = np.frombuffer(row["scores"], "<f8").reshape(-1, most), np.frombuffer(row["ids"], "<u4").reshape(-1, most).astype(np.int64)
+                if row["block"] != name:
+                    if name is not None:
+                        yield done()
+                    name, best = row["block"], new
+                else:
+                    best = _best(*(np.concatenate(x, 1) for x in zip(best, new, strict=True)), most)
+        if name is not None:
+            yield done()
+
+    return merge
+
+
+def _walker(numbers: dict[int, int], window: int, block: int, most: int):
+    """The starts of all documents; only lengths and lists come here, no texts."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes, lists, names = [], [], []
+        for batch in batches:
+            names += batch.column("block").to_pylist()
+            sizes += [np.frombuffer(x.as_buffer(), "<i8") for x in batch.column("sizes")]
+            lists += [np.frombuffer(x.as_py(), "<u4").reshape(-1, most) for x in batch.column("ids")]
+        if not names:
+            return
+        first = np.cumsum([0, *map(len, sizes)])
+        dense = first[[numbers[x] for x in names]]  # blocks come in order of their numbers
+        for x in range(len(lists)):
+            ids = lists[x].astype(np.int64)
+            known = ids != NONE
+            ids[known] = dense[ids[known] // block] + ids[known] % block
+            lists[x] = ids.astype("<u4")
+        total = sum(int(s.sum()) for s in sizes)
+        start = walk(np.concatenate(sizes), np.concatenate(lists), window)
+        for name, a, b in zip(names, first[:-1], first[1:], strict=True):
+            yield pa.RecordBatch.from_pydict({"block": [name], "starts": [start[a:b].astype("<i8").tobytes()], "total": [total]})
+
+    return go
+
+
+def _piecer(window: int, width: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row, out, first = batch.slice(i, 1).to_pylist()[0], [], 0
+                tails, last = np.frombuffer(row["tails"], f"<u{width}"), _bounds(row["total"], window)
+                docs = zip(row["doc_ids"], row["totals"], *(np.frombuffer(row[c], "<i8").tolist() for c in ("sizes", "starts")), strict=True)
+                for doc_id, total, size, start in docs:
+                    tail = tails[first : first + size]
+                    first += size
+                    for a, b, number, offset in _cut(start, size, row["total"], window, last):
+                        out.append((doc_id, total - size + a, b - a, _crc(tail[a:b]), total, number * 2 + 1, offset))
+                yield _pieces(out)
+
+    return cut
 
 
 def _windows(window: int):
@@ -205,18 +389,45 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = 2048) -> DataFr
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Documents of more than ``window`` ids fill windows of their own; what is left of them
-    and shorter ones are dealt by ranges of a similarity key, indexed in shards of SHARD
-    documents and packed behind each other by BM25. Every sequence has ``window`` ids or
-    a power of two below it, so nothing is padded. A null text is empty and holds the end
-    id alone; rows that repeat a doc_id, or have none, are packed like any other.
+    and shorter ones are packed behind each other by BM25. Each document is a query of all
+    its ids, searched exactly in all other documents, with the statistics of the whole
+    corpus: the cost grows with the square of the documents. One task walks over the
+    lists of neighbours. Every sequence has ``window`` ids or a power of two below it, so
+    nothing is padded. A null text is empty and holds the end id alone; rows that
+    repeat a doc_id, or have none, are packed like any other.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    width = encoder(path).dtype.itemsize
-    tokens = written(
-        map_arrow(rows, _tokenizer(path, end, window), "doc_id long, doc_tokens long, crcs array<long>, tail binary, key long", encodes=True), "token-tails"
+    known = encoder(path)
+    width = known.dtype.itemsize
+    tokens = map_arrow(
+        rows, _tokenizer(path, end, window), "doc_id long, doc_tokens long, crcs array<long>, tail binary, terms binary, counts binary", encodes=True
     )
+    tokens = written(tokens, "token-tails")
     long = map_arrow(tokens.filter("size(crcs) > 0").select("doc_id", "doc_tokens", "crcs"), _windows(window), _SCHEMA)
-    tails = tokens.filter("octet_length(tail) > 0").select("doc_id", "doc_tokens", "tail", "key")
-    # ties of the key are split by doc_id; equal rows that remain are ordered by their ids
-    dealt = tails.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id", "tail")
-    return long.union(map_arrow(dealt, _packer(window, width), _SCHEMA))
+
+    size = max(known.tokenizer.get_vocab_size(), end + 1)
+    counted = map_arrow(tokens.select("doc_tokens", "terms"), _frequencies(size, width), "term long, df long")
+    df, other = np.zeros(size, np.int64), {-1: 0, -2: 0}
+    for row in counted.groupBy("term").agg(F.sum("df").alias("df")).collect():  # at most a row per term
+        if row.term >= 0:
+            df[row.term] = row.df
+        else:
+            other[row.term] = row.df
+    corpus = _Corpus(other[-2], other[-1], df)
+
+    tails = tokens.filter("octet_length(tail) > 0").select("doc_id", "doc_tokens", "tail", "terms", "counts")
+    dealt = tails.repartitionByRange("doc_id", "tail").sortWithinPartitions("doc_id", "doc_tokens", "tail")
+    blocks = written(map_arrow(dealt, _blocker(width, BLOCK), _BLOCK), "blocks")
+    numbers = {x: i for i, x in enumerate(sorted(r.block for r in blocks.select("block").collect()))}
+    if not numbers:
+        return long
+    n = len(numbers)
+    queries, searched = (blocks.select(*(F.col(c).alias(side + c) for c in ("block", "held", "terms", "counts"))) for side in ("q_", "d_"))
+    pairs = queries.repartition(n).crossJoin(searched.repartition(math.ceil(n / SEARCHED)))
+    found = map_arrow(pairs, _searcher(corpus, numbers, width, BLOCK, NEIGHBOURS), "block long, scores binary, ids binary")
+    found = written(found, "found").repartition("block").sortWithinPartitions("block")
+    lists = written(map_arrow(found, _merger(NEIGHBOURS), "block long, ids binary"), "neighbours")
+    ordered = lists.join(blocks.select("block", "sizes"), "block").repartition(1).sortWithinPartitions("block")
+    starts = written(map_arrow(ordered, _walker(numbers, window, BLOCK, NEIGHBOURS), "block long, starts binary, total long"), "starts")
+    placed = blocks.select("block", "doc_ids", "totals", "sizes", "tails").join(starts, "block")
+    return long.union(map_arrow(placed, _piecer(window, width), _SCHEMA))
