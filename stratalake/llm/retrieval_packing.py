@@ -53,7 +53,7 @@ def _tokenizer(path: str, end: int, window: int):
                     crcs.append([_crc(ids[a : a + window]) for a in range(0, full, window)])
                     tails.append(ids[full:].tobytes())
                     totals.append(len(ids))
-                    found, tf = np.unique(ids[full:], return_counts=True)
+                    found, tf = np.unique(ids, return_counts=True)
                     terms.append(found.tobytes())
                     counts.append(tf.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(

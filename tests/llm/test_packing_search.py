@@ -67,3 +67,17 @@ def test_search_in_blocks_equals_one_block(spark, monkeypatch):
         assert found == {tuple(d for d, _, _ in s) for s in pack_shard(docs, 512)}
     else:
         raise AssertionError("the rows should be shorter than a window")
+
+
+def test_a_long_document_is_found_by_all_of_its_ids(spark):
+    rng = random.Random(16)
+    tokenizer = Tokenizer.from_file(BYTES)
+    topics = [[" " + "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=9)) for _ in range(40)] for _ in range(5)]
+    long = ""
+    while len(tokenizer.encode(long, add_special_tokens=False).ids) < 2048:
+        long += rng.choice(topics[0])
+    rows = [(0, long + "".join(rng.choices(topics[1], k=20)))]  # only its end is packed, with what the whole is like
+    rows += [(i, "".join(rng.choices(topics[i % 5], k=30))) for i in range(1, 100)]
+    found = sequences(pack(spark.createDataFrame(rows, "doc_id long, text string"), BYTES).collect())
+    beside = next(s for s in found if 0 in s and len(s) > 1)
+    assert beside[0] == 0 and {i % 5 for i in beside[1:6]} == {0}
