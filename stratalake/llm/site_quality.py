@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from math import log
 from operator import eq
 
 import numpy as np
@@ -16,6 +17,8 @@ from .common import map_arrow, written
 
 #: Labelled documents the classifier is fitted on (in expectation), words it may look at, and their least z-score.
 LABELLED, WORDS, LEAST_Z = 12_000, 400, 5.0
+#: The same for toxicity: words and stems, their least z-score and documents, letters of a stem, probability that rejects.
+TOXIC_WORDS, TOXIC_Z, TOXIC_LEAST, STEM, TOXIC = 600, 3.0, 5, 5, 0.25
 _MARKS = str.maketrans({c: " " for c in ".,;:!?\"'()[]{}<>|/\\#$%&*+-=_~`^@0123456789"})
 _SYMBOLS = re.compile(r"[#$%&*]{2,}")
 
@@ -24,6 +27,16 @@ def _words(text: str) -> set[str]:
     return set(text.lower().translate(_MARKS).split())
 
 
+def _counted(text: str) -> Counter:
+    """How often a text has each word, and each stem of a longer one."""
+    words = Counter(text.lower().translate(_MARKS).split())
+    stems = Counter()
+    for word, n in words.items():
+        if len(word) > STEM:
+            stems[f"{word[:STEM]}*"] += n  # no word has an asterisk
+    return words + stems
+
+
 def _shape(text: str) -> list[float]:
     """What a text looks like, apart from its words; all zero for a text without words."""
     words = text.split()
@@ -67,8 +80,8 @@ def _featurer(place: dict[str, int]):
     return features
 
 
-def _fit(shape: np.ndarray, words: list[list[int]], y: np.ndarray, size: int, ridge: float = 1.0) -> np.ndarray:
-    """Logistic regression by Newton's method over shapes, ``size`` words and, last, an intercept; rows are unfolded in parts."""
+def _fit(shape: np.ndarray, words: list[list[int]], y: np.ndarray, size: int, ridge: float = 1.0, values: list[list[float]] | None = None) -> np.ndarray:
+    """Logistic regression by Newton's method over shapes, ``size`` words (present, or with ``values``) and, last, an intercept; rows are unfolded in parts."""
     n, k = shape.shape
     w, penalty = np.zeros(k + size + 1), np.full(k + size + 1, ridge)
     penalty[-1] = 1e-6
@@ -78,7 +91,7 @@ def _fit(shape: np.ndarray, words: list[list[int]], y: np.ndarray, size: int, ri
             x = np.zeros((min(1000, n - a), len(w)))
             x[:, :k], x[:, -1] = shape[a : a + 1000], 1
             for i, found in enumerate(words[a : a + 1000]):
-                x[i, [k + j for j in found]] = 1
+                x[i, [k + j for j in found]] = 1 if values is None else values[a + i]
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
             curve += (x * (p * (1 - p) + 1e-9)[:, None]).T @ x
             slope += x.T @ (y[a : a + 1000] - p)
@@ -89,13 +102,70 @@ def _fit(shape: np.ndarray, words: list[list[int]], y: np.ndarray, size: int, ri
     return w
 
 
-def _scorer(weights: dict[str, float], shape: np.ndarray, intercept: float):
+def _toxic_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        counts = (Counter(), Counter())
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            counts[toxic].update(_counted(text).keys())
+        words = list(counts[0] | counts[1])
+        yield pa.RecordBatch.from_pydict(
+            {"word": pa.array(words, pa.string()), **{k: pa.array([counts[i][w] for w in words], pa.int64()) for i, k in enumerate(("clean", "toxic"))}}
+        )
+
+
+def _toxic_featurer(place: dict[str, int]):
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [{place[w]: n for w, n in _counted(t).items() if w in place} for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("toxic"), pa.array([list(x) for x in found], pa.list_(pa.int32())), pa.array([list(x.values()) for x in found], pa.list_(pa.int64()))],
+                names=["toxic", "words", "times"],
+            )
+
+    return features
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> tuple[dict[str, tuple[float, float]], float]:
+    """``(weights, intercept)`` of a toxicity classifier: per word or stem a weight for its presence and one for the logarithm of its count.
+
+    Fitted on about ``labelled`` documents with a toxic label, by a hash of doc_id; one labelled
+    twice is toxic if any label says so. With labels of one kind no document is toxic.
+    """
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
+    known = known.groupBy("doc_id").agg(F.when(F.max("toxic") != 0, 1).otherwise(0).alias("toxic"))
+    total = known.count()
+    if total > labelled:
+        known = known.filter(F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1_000_000)) < int(1_000_000 * labelled / total))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    sample = written(texts.join(known, "doc_id").select("text", "toxic"), "labelled-toxic")
+    sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
+        return {}, -30.0
+    n_clean, n_toxic = sizes[0], sizes[1]
+    counts = map_arrow(sample, _toxic_counter, "word string, clean long, toxic long").groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    share = (F.col("clean") + F.col("toxic")) / (n_clean + n_toxic)
+    z = (F.col("toxic") / n_toxic - F.col("clean") / n_clean) / F.sqrt(share * (1 - share + 1e-9) * (1 / n_clean + 1 / n_toxic))
+    chosen = counts.withColumn("z", F.abs(z)).filter((F.col("clean") + F.col("toxic") >= TOXIC_LEAST) & (F.col("z") >= TOXIC_Z))
+    place = {r.word: i for i, r in enumerate(chosen.orderBy(F.desc("z"), "word").limit(TOXIC_WORDS).collect())}
+    rows = map_arrow(sample, _toxic_featurer(place), "toxic int, words array<int>, times array<long>").collect()
+    n = len(place)
+    both = [[*r.words, *(n + j for j in r.words)] for r in rows]
+    values = [[*([1.0] * len(r.words)), *np.log(r.times).tolist()] for r in rows]
+    w = _fit(np.zeros((len(rows), 0)), both, np.array([r.toxic for r in rows], float), 2 * n, values=values)
+    return {word: (float(w[i]), float(w[n + i])) for word, i in place.items()}, float(w[-1])
+
+
+def _scorer(weights: dict[str, float], shape: np.ndarray, intercept: float, toxic: dict[str, tuple[float, float]], toxic_intercept: float):
+    def toxicity(text: str) -> float:
+        return toxic_intercept + sum(toxic[w][0] + toxic[w][1] * log(n) for w, n in _counted(text).items() if w in toxic)
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() for t in batch.column("text")]
             logits = [intercept + float(np.dot(shape, _shape(t))) + sum(weights[w] for w in weights.keys() & _words(t)) for t in texts]
             names = [n for n in batch.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(logits, pa.float64())], names=[*names, "logit"])
+            found = [*(batch.column(n) for n in names), pa.array(logits, pa.float64()), pa.array(map(toxicity, texts), pa.float64())]
+            yield pa.RecordBatch.from_arrays(found, names=[*names, "logit", "toxic_logit"])
 
     return score
 
@@ -141,7 +211,7 @@ def _strength(between: float, mean: float) -> float:
 
 def site_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None,
                  threshold: float = 0.5, labelled: int = LABELLED) -> DataFrame:
-    """Per row of ``docs(doc_id, text, ...)``: doc_id, tid, evidence, host_quality, path_quality, quality, kept.
+    """Per row of ``docs(doc_id, text, ...)``: doc_id, tid, evidence, host_quality, path_quality, quality, toxicity, kept.
 
     ``evidence`` is the classifier's log-likelihood ratio for a good document. Each host
     (by default ``source``) has the posterior mean of its share of good documents,
@@ -151,9 +221,11 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
     sparse sites shrink to the level above. ``quality`` adds the evidence to the path's
     log odds. Null hosts and paths are sites of their own; null texts are empty. ``tid``
     is xxhash64 of the text and tells rows of one doc_id apart. Without labels, or
-    with labels of one kind, all documents get the sample's share.
+    with labels of one kind, all documents get the sample's share. ``toxicity`` is the
+    probability of a classifier of its own, of which TOXIC or more rejects a document too.
     """
     weights, shape, intercept, base = fit_classifier(docs, labels, labelled)
+    toxic, toxic_intercept = fit_toxicity(docs, labels, labelled)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -162,7 +234,7 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
     )
     rows = rows.select("doc_id", F.xxhash64("text").alias("tid"), F.coalesce("host", F.lit("\0")).alias("host"),
                        F.coalesce("path", F.lit("\0")).alias("path"), "text")
-    scored = map_arrow(rows, _scorer(weights, shape, intercept), "doc_id long, tid long, host string, path string, logit double")
+    scored = map_arrow(rows, _scorer(weights, shape, intercept, toxic, toxic_intercept), "doc_id long, tid long, host string, path string, logit double, toxic_logit double")
     scored = written(scored, "scores")
     bad = (F.coalesce("quality", F.lit(1)) != 1) | (F.coalesce("toxic", F.lit(0)) != 0)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.when(bad, 0.0).otherwise(1.0).alias("label"))
@@ -193,4 +265,6 @@ def site_quality(docs: DataFrame, labels: DataFrame, host: Column | None = None,
     evidence = F.col("logit") - float(np.log(base / (1 - base)))
     odds = evidence + F.log(F.col("path_quality") / (1 - F.col("path_quality")))
     out = scored.join(nested, ["host", "path"]).withColumn("quality", 1 / (1 + F.exp(-odds)))
-    return out.select("doc_id", "tid", evidence.alias("evidence"), "host_quality", "path_quality", "quality", (F.col("quality") >= threshold).alias("kept"))
+    kept = (F.col("quality") >= threshold) & (F.col("toxicity") < TOXIC)
+    out = out.withColumn("toxicity", 1 / (1 + F.exp(-F.col("toxic_logit"))))
+    return out.select("doc_id", "tid", evidence.alias("evidence"), "host_quality", "path_quality", "quality", "toxicity", kept.alias("kept"))

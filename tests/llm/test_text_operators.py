@@ -238,6 +238,19 @@ def test_quality_on_documents_held_out(spark):
     assert len(junk) > 50 and np.mean(junk) < 0.1
 
 
+def test_toxic_documents_held_out_are_rejected_in_every_language(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held = labels.filter("doc_id % 4 = 0 and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("label"))
+    judged = site_quality(docs, labels.filter("doc_id % 4 != 0")).join(docs.select("doc_id", "lang").distinct(), "doc_id").join(held, "doc_id").collect()
+    rejected = defaultdict(list)
+    for r in judged:
+        if r.toxic:
+            rejected[r.lang].append(not r.kept)
+    for lang in ("de", "en", "es", "fr"):
+        assert len(rejected[lang]) > 5 and np.mean(rejected[lang]) >= 0.85, lang
+
+
 def test_quality_of_awkward_rows(spark):
     labels = spark.createDataFrame([(1, 0, 0), (5, 1, 0), (5, None, None), (None, 1, 0)], "doc_id long, quality int, toxic int")
     docs = awkward(spark)
