@@ -1,9 +1,9 @@
-"""Near-duplicate join on word shingles: a MinHash LSH forest, then exact Jaccard similarity.
+"""Near-duplicate join on word shingles: MinHash in fixed bands, then exact Jaccard similarity.
 
-Each document has one sorted trie key per tree: the MinHash values of the tree in a
-fixed order. Two documents are candidates if their keys share a prefix in some tree. The
-prefix starts at the full depth and is shortened until a pair at the threshold is
-found with the target probability, 1 - (1 - s^length)^trees.
+Each document has one key per band, a hash of the band's MinHash values. Two documents
+are candidates if they share a key. The length of the bands is the longest at which a pair at
+the threshold is found with the target probability, 1 - (1 - s^length)^trees. It is the
+same for all documents: bands replace a forest, whose prefixes are shortened by data.
 """
 
 from __future__ import annotations
