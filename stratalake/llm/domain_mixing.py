@@ -38,7 +38,7 @@ def _inverse(g: list[list[float]]) -> list[list[float]]:
 
 
 def _pieces(df: DataFrame, *keep: str) -> DataFrame:
-    piece = df.select(*keep, F.explode(F.split("text", " ")).alias("piece"))
+    piece = df.select(*keep, F.explode(F.split("text", r"\s+")).alias("piece"))
     return piece.withColumn("bucket", F.pmod(F.xxhash64("piece"), F.lit(BUCKETS)).cast("int"))
 
 

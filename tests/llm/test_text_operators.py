@@ -275,6 +275,17 @@ def test_rates_meet_the_targets(spark):
     assert (floor.rate >= 1).all() and (floor.copies >= 1).all()
 
 
+def test_words_are_parted_by_any_white_space(spark):
+    rng = random.Random(17)
+    words = [[rng.choice(("der", "die", "und", "the", "and", "of")) for _ in range(40)] for _ in range(20)]
+    rows = [(3 * i + j, blank.join(w)) for i, w in enumerate(words) for j, blank in enumerate((" ", "\n", " \t\r\n "))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labelled = spark.createDataFrame([(d, "en" if d % 2 else "de") for d, _ in rows], "doc_id long, domain string")
+    out = {r.doc_id: r for r in mix_domains(docs, labelled, {"de": 0.5, "en": 0.5}).collect()}
+    for d, r in out.items():
+        assert r.n_tokens == 40 and r.p_de == pytest.approx(out[d - d % 3].p_de)
+
+
 def test_mixing_awkward_rows(spark, sf):
     docs, labels = awkward(spark), table(spark, sf, "labels")
     out = mix_domains(docs, labelled_domains(docs, labels), DOMAIN_WEIGHTS)
