@@ -14,6 +14,7 @@ from .segment_search import segment_search
 from .shingle_forest import shingle_join
 from .sign_dedup import sign_dedup
 from .site_quality import site_quality
+from .source_divergence import source_divergence
 from .token_blocks import token_blocks
 from .url_cascade import host_and_path, url_verdicts
 from .warc_index import warc_index
@@ -82,6 +83,10 @@ def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(pages, URL_RULES, listed)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"), least=10, top=10)
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_domain_mixing": op2_domain_mixing,
@@ -93,6 +98,7 @@ QUERIES = {
     "op8_retrieval_packing": op8_retrieval_packing,
     "op9_sign_dedup": op9_sign_dedup,
     "op10_url_cascade": op10_url_cascade,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 _SEARCH = """
@@ -138,4 +144,43 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM w
 """
 
-ORACLE: dict[str, str] = {"op3_warc_index": _WARC, "op6_segment_search": _SEARCH, "op10_url_cascade": _URLS}
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), t AS (
+  SELECT id, lang, source, {_LOWERED.format("term")} AS term
+  FROM (SELECT id, lang, source, unnest(regexp_extract_all(text, '{_TERM}')) AS term FROM d)
+), k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term
+), l AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang
+), g AS (
+  SELECT lang, source, coalesce((SELECT sum(n) FROM c WHERE c.lang = d.lang AND c.source = d.source), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) d
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.n + 2 * l.v)::HUGEINT AS p,
+    1 + (1000000000::HUGEINT * (k.total + 2)) // (l.n + 2 * l.v)::HUGEINT AS q
+  FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), x AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM x QUALIFY part = 'pair' OR rank <= 10
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_warc_index": _WARC,
+    "op6_segment_search": _SEARCH,
+    "op10_url_cascade": _URLS,
+    "op11_source_divergence": _DIVERGENCE,
+}
