@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .domain_mixing import mix_domains
+from .max_sketches import ranked_search
 from .retrieval_packing import pack
 from .run_index import repeat_report
 from .segment_search import segment_search
@@ -87,6 +88,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"), least=10, top=10)
 
 
+def op12_max_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_domain_mixing": op2_domain_mixing,
@@ -99,6 +104,7 @@ QUERIES = {
     "op9_sign_dedup": op9_sign_dedup,
     "op10_url_cascade": op10_url_cascade,
     "op11_source_divergence": op11_source_divergence,
+    "op12_max_sketches": op12_max_sketches,
 }
 
 _SEARCH = """
@@ -178,9 +184,31 @@ SELECT lang, source, part, item, value::BIGINT AS value,
 FROM x QUALIFY part = 'pair' OR rank <= 10
 """
 
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_RANKED = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all({_LOWERED.format("coalesce(text, '')")}, '{_WORD}') AS terms FROM documents
+), t AS (SELECT id, unnest(terms) AS term FROM d
+), s AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_words FROM d WHERE len(terms) > 0
+), q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({_LOWERED.format("text")}, '{_WORD}')) AS term FROM benchmark) GROUP BY ALL
+), f AS (SELECT id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY id, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s
+), x AS (
+  SELECT item_id, doc_id, id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(terms) * n_docs) // n_words))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN f USING (term) JOIN d USING (id), s GROUP BY item_id, doc_id, id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, id)::INTEGER AS rank, doc_id, score
+FROM x WHERE score > 0 QUALIFY rank <= 20
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc_index": _WARC,
     "op6_segment_search": _SEARCH,
     "op10_url_cascade": _URLS,
     "op11_source_divergence": _DIVERGENCE,
+    "op12_max_sketches": _RANKED,
 }
