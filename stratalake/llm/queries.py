@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .domain_mixing import mix_domains
+from .level_windows import repeated_windows
 from .max_sketches import ranked_search
 from .retrieval_packing import pack
 from .run_index import repeat_report
@@ -92,6 +93,10 @@ def op12_max_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op13_level_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_windows(table(spark, sf_dir, "documents"), length=50)
+
+
 QUERIES = {
     "op1_token_blocks": op1_token_blocks,
     "op2_domain_mixing": op2_domain_mixing,
@@ -105,6 +110,7 @@ QUERIES = {
     "op10_url_cascade": op10_url_cascade,
     "op11_source_divergence": op11_source_divergence,
     "op12_max_sketches": op12_max_sketches,
+    "op13_level_windows": op13_level_windows,
 }
 
 _SEARCH = """
@@ -205,10 +211,27 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 FROM x WHERE score > 0 QUALIFY rank <= 20
 """
 
+_REPEATED = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+  SELECT id, doc_id, i, array_to_string(words[i:i + 49], ' ') AS word_sequence
+  FROM (SELECT id, doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM d WHERE len(words) >= 50)
+), r AS (SELECT id, i FROM w QUALIFY min(doc_id) OVER (PARTITION BY word_sequence) < doc_id
+), c AS (SELECT DISTINCT id, unnest(range(i, i + 50)) AS i FROM r
+), k AS (
+  SELECT id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n_kept
+  FROM (SELECT id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d) ANTI JOIN c USING (id, i) GROUP BY id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (id)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_warc_index": _WARC,
     "op6_segment_search": _SEARCH,
     "op10_url_cascade": _URLS,
     "op11_source_divergence": _DIVERGENCE,
     "op12_max_sketches": _RANKED,
+    "op13_level_windows": _REPEATED,
 }

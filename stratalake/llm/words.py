@@ -153,6 +153,25 @@ class Words:
             kind, len(which), [None, pa.py_buffer(offsets.astype(width)), pa.py_buffer(self.data[places])]
         )
 
+    def joined(self, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``(bytes, offsets)`` of each text's words (of those marked in ``keep``), one space between two."""
+        which = slice(None) if keep is None else keep
+        starts, doc = self.starts[which], self.doc[which]
+        ends = starts + self.lengths[which]
+        body = self.data[:-8].copy()
+        edges = np.zeros(len(body) + 1, dtype=np.int8)
+        edges[starts] += 1
+        edges[ends] -= 1  # may be the start of the next text's first word
+        inside = np.cumsum(edges[:-1], dtype=np.int8) > 0
+        between = ends[:-1][doc[1:] == doc[:-1]]
+        body[between] = 32
+        inside[between] = True
+        count = np.bincount(doc, minlength=self.documents)
+        sizes = np.bincount(doc, weights=ends - starts, minlength=self.documents).astype(np.int64)
+        offsets = np.zeros(self.documents + 1, dtype=np.int64)
+        np.cumsum(sizes + np.maximum(count - 1, 0), out=offsets[1:])
+        return body[inside], offsets
+
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """A reversible mix of 64-bit numbers."""
