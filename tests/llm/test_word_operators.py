@@ -1,0 +1,247 @@
+"""Divergence of sources, ranked search and repeated windows against brute force on awkward rows."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.llm import level_windows, max_sketches, source_divergence
+from stratalake.llm.common import table
+from stratalake.llm.words import Words, byte_class, shards
+
+SF = "/root/testdata/sf0.001"
+LETTERS = byte_class((65, 90), (97, 122), (128, 255))
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def random_texts(seed, n):
+    rng = random.Random(seed)
+    words = ["a", "ab", "abcdefgh", "abcdefghi", "abcdefghij", "Zoë", "zoë", "日本", "日本語です", "x" * 17, "x" * 18, "it's", "B2"]
+    return [None, "", "   ", *("".join(rng.choice(words) + rng.choice([" ", "  ", "\n", ", ", "\x00", "\x7f"]) for _ in range(rng.randint(1, 40))) for _ in range(n))]
+
+
+def test_pointers_sort_words_and_mark_equal_runs():
+    texts = [t or "" for t in random_texts(1, 300)]
+    words = Words(pa.array(texts), LETTERS, lower=True)
+    found = [t for text in texts for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(text))]
+    order, run = words.sorted_runs()
+    assert words.texts(np.arange(len(found))).to_pylist() == found
+    assert words.texts(order).to_pylist() == sorted(found, key=str.encode)
+    assert [list(g) for g in np.split(run, np.flatnonzero(np.diff(run)) + 1)] == [
+        [i] * n for i, (_, n) in enumerate(sorted(Counter(found).items(), key=lambda x: x[0].encode()))
+    ]
+    assert len(set(words.hashes().tolist())) == len(set(found))
+    assert Words(pa.array([], pa.string()), LETTERS).sorted_runs()[0].tolist() == []
+
+
+def test_a_word_ends_with_its_text_and_slices_of_columns_work():
+    column = pa.array(["drop", "ab", "", "cd", "ef gh"]).slice(1)
+    words = Words(column, LETTERS)
+    assert words.texts(np.arange(4)).to_pylist() == ["ab", "cd", "ef", "gh"]
+    assert words.doc.tolist() == [0, 2, 3, 3]
+    body, offsets = words.joined(np.array([True, True, False, True]))
+    assert [bytes(body[a:b]).decode() for a, b in zip(offsets, offsets[1:])] == ["ab", "", "cd", "gh"]
+
+
+def test_shards_keep_rows_whole_and_in_order():
+    texts = ["x" * n for n in (0, 5, 3, 200, 0, 7, 1, 99, 100, 2)]
+    batches = pa.table({"text": texts}).to_batches(max_chunksize=3)
+    parts = [t["text"].to_pylist() for t in shards(batches, "text", limit=100)]
+    assert [x for p in parts for x in p] == texts
+    assert all(sum(map(len, p)) <= 100 or len([x for x in p if x]) == 1 for p in parts)
+
+
+def divergence(rows, least):
+    docs = [((lang or ""), (source or ""), re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lowered(text))) for lang, source, text in rows]
+    out = set()
+    for lang in {d[0] for d in docs}:
+        df = Counter(t for x, _, ts in docs if x == lang for t in set(ts))
+        kept = [t for t, n in df.items() if n >= least]
+        groups = {s: Counter() for x, s, _ in docs if x == lang}
+        for x, s, ts in docs:
+            if x == lang:
+                groups[s].update(t for t in ts if df[t] >= least)
+        total = sum(groups.values(), Counter())
+
+        def shares(counts):
+            n = sum(counts.values()) + 2 * len(kept)
+            return {t: 1 + 10**9 * (counts[t] + 2) // n for t in kept}
+
+        q, p = shares(total), {s: shares(c) for s, c in groups.items()}
+        for s in groups:
+            pairs = [(sum((p[s][t] - p[o][t]) ** 2 // (p[s][t] + p[o][t]) for t in kept), o) for o in groups if o != s]
+            own = [((p[s][t] - q[t]) ** 2 // (p[s][t] + q[t]), t) for t in kept if groups[s][t] and p[s][t] > q[t]]
+            for part, found, limit in (("pair", pairs, None), ("term", own, 10)):
+                found.sort(key=lambda x: (-x[0], x[1].encode()))
+                out |= {(lang, s, part, item, v, i) for i, (v, item) in enumerate(found[:limit], 1)}
+    return out
+
+
+def labelled(spark):
+    rng = random.Random(3)
+    rows = [(rng.choice(["en", "de", None]), rng.choice(["s1", "s2", "s3", None]), t) for t in random_texts(2, 150)]
+    rows += [("en", "only blanks", " "), ("xx", "one", "few terms"), ("xx", "two", None), ("en", "s1", "long " * 50_000)] + rows[:5]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "lang string, source string, text string, term string, p int")
+    return rows, df.repartition(3)
+
+
+@pytest.mark.parametrize("tile", [256, 2])
+def test_divergence_equals_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(source_divergence, "TILE_SOURCES", tile)
+    monkeypatch.setattr(source_divergence, "BLOCK_TERMS", 7)
+    rows, df = labelled(spark)
+    found = source_divergence.source_divergence(df, least=10).select("lang", "source", "part", "item", "value", "rank")
+    found = [tuple(r) for r in found.collect()]
+    assert len(found) == len(set(found)) and set(found) == divergence(rows, 10)
+
+
+def test_divergence_without_rows_or_terms(spark):
+    empty = spark.createDataFrame([], "text string, lang string, source string")
+    assert source_divergence.source_divergence(empty).collect() == []
+    two = spark.createDataFrame([("a", "en", "s"), (None, None, None), ("b", "en", "t")], "text string, lang string, source string")
+    assert {tuple(r) for r in source_divergence.source_divergence(two).collect()} == {
+        ("en", "s", "pair", "t", 0, 1), ("en", "t", "pair", "s", 0, 1),
+    }
+
+
+def ranked(docs, items, k):
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    split = [(d, Counter(ts := pattern.findall(lowered(t))), len(ts)) for d, t in docs]
+    n_docs, n_words = sum(n > 0 for *_, n in split), sum(n for *_, n in split)
+    df = Counter(t for _, c, _ in split for t in c)
+    out = []
+    for item, text in set(items):
+        asked = Counter(pattern.findall(lowered(text)))
+        scores = []
+        for d, c, n in split:
+            m = 75 + 25 * n * n_docs // n_words
+            score = sum(
+                times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m))
+                for t, times in asked.items() if c[t]
+            )
+            scores += [(-score, d is None, d or 0, d)] if score > 0 else []
+        out += [(item, i, d, -s) for i, (s, _, _, d) in enumerate(sorted(scores, key=lambda x: x[:3])[:k], 1)]
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("head", [32, 2])
+def test_ranked_search_equals_brute_force(spark, monkeypatch, head):
+    monkeypatch.setattr(max_sketches, "HEAD", head)
+    rng = random.Random(4)
+    docs = [(i, t) for i, t in enumerate(random_texts(5, 120))]
+    docs += [(3, "zoë a B2"), (None, "zoë zoë"), (None, "zoë zoë"), (900, "ab " * 60_000 + "zoë"), *[(500 + i, "b2 same") for i in range(40)], *docs[5:9]]
+    items = [(1, "Zoë b2"), (2, None), (3, "nothing here"), (1, "ab ab ab it"), (None, "日本 same"), (4, "zoë b2"), (4, "zoë b2")]
+    items += [(100 + i, " ".join(rng.choices(["a", "ab", "zoë", "x" * 17, "日本語です", "s", "it"], k=5))) for i in range(8)]
+    df = spark.createDataFrame([(*d, 1, 2) for d in docs], "doc_id long, text string, item_id int, tid int").repartition(3)
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    found = max_sketches.ranked_search(df, asked, k=5)
+    assert sorted(str(tuple(r)) for r in found.collect()) == ranked(docs, items, 5)
+
+
+def test_ranked_search_in_blocks_with_colliding_terms(spark, monkeypatch):
+    """Sketches too coarse to tell terms apart cost exact scores, never results."""
+    hashes = Words.hashes
+    monkeypatch.setattr(Words, "hashes", lambda self, seed=0: hashes(self, seed) & np.uint64(0x0003FFFFFFFFFFFF))
+    docs = [(i, t) for i, t in enumerate(random_texts(6, 60))]
+    items = [(i, t) for i, t in enumerate(random_texts(7, 12))]
+    rows = _collected(docs)
+    index = _run_sketch(rows)
+    look = max_sketches._Lookup([{"weights": {"zoë": 7, "a": 2, "b2": 30}}], 50, 900)
+    bound = np.concatenate([b for _, b in look.bounds(index)])[:, 0]
+    score = max_sketches._exact([{"weights": {"zoë": 7, "a": 2, "b2": 30}}], 50, 900)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [d for d, _ in docs], "text": [t or "" for _, t in docs], "items": [[0]] * len(docs)})
+    exact = {r["doc_id"]: r["score"] for out in score(iter([batch])) for r in out.to_pylist()}
+    assert all(bound[d] >= s for d, s in exact.items()) and (bound > 0).sum() > len(exact) / 2
+    monkeypatch.undo()  # other processes hash as ever
+    monkeypatch.setattr(max_sketches, "BLOCK_ITEMS", 4)
+    monkeypatch.setattr(max_sketches, "BLOCK_TERMS", 3)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = max_sketches.ranked_search(df, spark.createDataFrame(items, "item_id long, text string"), k=3)
+    assert sorted(str(tuple(r)) for r in found.collect()) == ranked(docs, items, 3)
+
+
+def _collected(docs):
+    return pa.RecordBatch.from_pydict(
+        {"doc_id": pa.array([d for d, _ in docs], pa.int64()), "tid": pa.array(range(len(docs)), pa.int64()), "text": [t or "" for _, t in docs]}
+    )
+
+
+def _run_sketch(batch):
+    return next(iter(max_sketches._sketch(iter([batch]))))
+
+
+def test_ranked_search_of_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a")], "item_id long, text string")
+    assert max_sketches.ranked_search(docs.limit(0), items).collect() == []
+    assert max_sketches.ranked_search(docs, items.limit(0)).collect() == []
+    assert max_sketches.ranked_search(docs.select("doc_id", F.lit(None).cast("string").alias("text")), items).collect() == []
+
+
+def cut(docs, length):
+    texts = [(d, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t in docs]
+    owner = defaultdict(lambda: math.inf)
+    for d, ws in texts:
+        for i in range(len(ws) - length + 1):
+            key = tuple(ws[i : i + length])
+            owner[key] = min(owner[key], (1 << 63) - 1 if d is None else d)
+    out = []
+    for d, ws in texts:
+        gone = set()
+        for i in range(len(ws) - length + 1):
+            if owner[tuple(ws[i : i + length])] < ((1 << 63) - 1 if d is None else d):
+                gone |= set(range(i, i + length))
+        kept = " ".join(w for i, w in enumerate(ws) if i not in gone)
+        out.append((d, len(ws), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 8, 50])
+def test_windows_equal_brute_force(spark, length):
+    rng = random.Random(length)
+    words = [f"w{i}" for i in range(40)] + ["W1", "é\x00", "é", "it's,", "日本"]
+    passages = [rng.choices(words, k=rng.choice([length - 1, length, length + 1, 3 * length])) for _ in range(6)]
+    docs = [(0, None), (1, ""), (2, " \t"), (None, "only blanks\x0b"), (3, "w1 " * 4 * length), (4, "w1 " * 5 * length)]
+    for i in range(60):
+        body = [rng.choices(words, k=rng.randint(0, 2 * length)) if rng.random() < 0.5 else rng.choice(passages) for _ in range(4)]
+        docs.append((rng.choice([None, *range(10, 60)]), rng.choice([" ", "\n", "  "]).join(w for part in body for w in part)))
+    docs += docs[5:15] + [(100 + i, docs[20][1]) for i in range(5)]
+    df = spark.createDataFrame([(*d, 1, "k") for d in docs], "doc_id long, text string, place int, keys string").repartition(4)
+    found = level_windows.repeated_windows(df, length=length)
+    assert found.columns == ["doc_id", "n_words", "n_removed", "kept_sha256"]
+    assert sorted(str(tuple(r)) for r in found.collect()) == cut(docs, length)
+
+
+def test_windows_of_long_texts_and_empty_tables(spark):
+    rng = random.Random(9)
+    long = [str(rng.randint(0, 10**6)) for _ in range(300_000)]
+    docs = [(1, " ".join(long)), (2, " ".join(long[1000:1050])), (3, " ".join([*long[200_000:200_049], "x"])), (4, " ".join(["y", *long[5:]]))]
+    found = {r.doc_id: (r.n_words, r.n_removed) for r in level_windows.repeated_windows(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found == {1: (300_000, 0), 2: (50, 50), 3: (50, 0), 4: (299_996, 299_995)}
+    assert level_windows.repeated_windows(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_a_level_finds_every_window_that_repeats():
+    """A window repeated as a whole has the same key on every level, wherever it stands."""
+    rng = np.random.default_rng(1)
+    shared = rng.integers(0, 1 << 63, 50, dtype=np.uint64)
+    a = np.concatenate([rng.integers(0, 1 << 63, 33, dtype=np.uint64), shared, rng.integers(0, 1 << 63, 9, dtype=np.uint64)])
+    b = np.concatenate([shared, rng.integers(0, 1 << 63, 70, dtype=np.uint64)])
+    assert level_windows.levels(50) == [12, 25, 50]
+    for level in level_windows.levels(50):
+        assert level_windows._level_keys(a, level, 50)[33] == level_windows._level_keys(b, level, 50)[0]
+
+
+def test_test_tables_hold_repeats(spark):
+    rows = level_windows.repeated_windows(table(spark, SF, "documents")).collect()
+    docs = [(r.doc_id, r.text) for r in table(spark, SF, "documents").select("doc_id", "text").collect()]
+    assert sorted(str(tuple(r)) for r in rows) == cut(docs, 50)
