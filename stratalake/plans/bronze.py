@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators.audit import as_utc, file_lineage, with_audit
-from stratalake.sources.landing import read_landing
+from stratalake.sources.landing import LANDED_FILE, read_csv_by_header, read_landing
 from stratalake.sources.sinks import STEP, batch_path, refuse_children, require_distinct, write_batch
 from stratalake.tables import CORRUPT, CORRUPT_FIELD, TableSpec, spec_for
 
@@ -32,6 +32,37 @@ def reject_missing_keys(df: DataFrame, table: str | TableSpec) -> DataFrame:
     return df.withColumn(CORRUPT, F.when(missing, text).otherwise(F.col(CORRUPT)))
 
 
+def landed_rows(
+    spark: SparkSession,
+    spec: TableSpec,
+    landing: str | list[str],
+    file_format: str,
+    source: str | None,
+    moment: datetime,
+    *,
+    keep_rejects: bool,
+    **read_options: bool,
+) -> DataFrame:
+    """Landing rows with audit columns; ``source`` None records the file of each row."""
+    if file_format == "csv" and read_options.pop("by_header", False):
+        if read_options.pop("check_header", False):
+            raise ValueError("check_header refuses other orders of columns, by_header follows them: choose one")
+        raw = read_csv_by_header(spark, spec, landing, keep_rejects=keep_rejects, **read_options)
+        return with_audit(raw, F.col(LANDED_FILE) if source is None else source, moment).drop(LANDED_FILE)
+    raw = read_landing(spark, spec, landing, file_format, keep_rejects=keep_rejects, **read_options)
+    return with_audit(raw, file_lineage() if source is None else source, moment)
+
+
+def check_options(bronze: str, dead_letter: str | None, strict: bool, lineage: str) -> None:
+    """Refuse options that contradict each other."""
+    if strict and not dead_letter:
+        raise ValueError("strict needs a dead_letter path for the rows it rejects")
+    if lineage not in ("landing", "file"):
+        raise ValueError(f"lineage must be 'landing' or 'file', not {lineage!r}")
+    if dead_letter:
+        require_distinct(bronze, dead_letter)
+
+
 def ingest(
     spark: SparkSession,
     table: str | TableSpec,
@@ -59,23 +90,18 @@ def ingest(
     """
     spec = spec_for(table)
     require_distinct(landing, bronze)
-    if strict and not dead_letter:
-        raise ValueError("strict needs a dead_letter path for the rows it rejects")
-    if lineage not in ("landing", "file"):
-        raise ValueError(f"lineage must be 'landing' or 'file', not {lineage!r}")
+    check_options(bronze, dead_letter, strict, lineage)
     refuse_children(spark, bronze, STEP)
 
     moment = as_utc(ingested_at)
-    source = file_lineage() if lineage == "file" else (source_name or landing)
-    raw = read_landing(
-        spark, spec, landing, file_format, keep_rejects=bool(dead_letter), **read_options
+    source = None if lineage == "file" else (source_name or landing)
+    rows = landed_rows(
+        spark, spec, landing, file_format, source, moment, keep_rejects=bool(dead_letter), **read_options
     )
-    rows = with_audit(raw, source, moment)
     if not dead_letter:
         written = write_batch(rows, bronze, moment.date())
         return IngestResult(spec.name, moment.date(), written["rows"], 0)
 
-    require_distinct(bronze, dead_letter)
     if strict:
         rows = reject_missing_keys(rows, spec)
     written = write_batch(rows, bronze, moment.date(), rejected=F.count(CORRUPT))

@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.sources import snapshots
+from stratalake.sources.snapshots import read_parts
 from stratalake.tables import BATCH_DATE, CORRUPT, TableSpec, spec_for
 
 
@@ -45,5 +47,19 @@ def read_silver(
     since: date | None = None,
     until: date | None = None,
 ) -> DataFrame:
-    """Silver rows, optionally of some batches only."""
-    return _batches(spark.read.schema(spec_for(table).silver).parquet(path), since, until)
+    """Silver rows, optionally of some batches only; follows the pointer of a table that has one."""
+    schema = spec_for(table).silver
+    if snapshot := snapshots.current(spark, path):
+        return read_parts(spark, path, schema, snapshot, _within(snapshot.dates(), since, until))
+    return _batches(spark.read.schema(schema).parquet(path), since, until)
+
+
+def _within(dates: list[date], since: date | None, until: date | None) -> list[date]:
+    return [d for d in dates if (since is None or d >= since) and (until is None or d <= until)]
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """A Gold table; follows the pointer of a table that has one."""
+    if snapshots.current(spark, path):
+        return snapshots.read_whole(spark, path)
+    return spark.read.parquet(path)

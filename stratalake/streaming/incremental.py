@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from stratalake.operators.audit import as_utc, file_lineage, with_audit
 from stratalake.plans.bronze import IngestResult, reject_missing_keys
+from stratalake.sources import storage
 from stratalake.sources.sinks import STEP, child, refuse_children, require_distinct
+from stratalake.sources.snapshots import POINTER
 from stratalake.tables import BATCH_DATE, CORRUPT, CORRUPT_FIELD, TableSpec, spec_for
 
 # Spark forgets files this much older than the newest it has seen, by default a week;
@@ -58,6 +60,11 @@ def ingest_new_files(
         require_distinct(bronze, dead_letter)
         refuse_children(spark, dead_letter, BATCH_DATE)
     refuse_children(spark, bronze, BATCH_DATE)
+    if storage.exists(spark, child(bronze, POINTER)):
+        raise ValueError(f"{bronze} belongs to the ingest with a file table")
+    writer = hashlib.sha256(progress.rstrip("/").encode()).hexdigest()[:8]
+    if not storage.exists(spark, child(progress, "offsets")) and storage.matches(spark, child(bronze, f"{STEP}={writer}-*")):
+        raise ValueError(f"{progress} has lost what it knew: {bronze} holds steps written with it, which would be read again")
 
     moment = as_utc(ingested_at)
     fields = [*spec.landing.fields, *([CORRUPT_FIELD] if dead_letter else [])]
@@ -77,7 +84,6 @@ def ingest_new_files(
     rows = with_audit(reader.load(landing), source, moment)
     if strict:
         rows = reject_missing_keys(rows, spec)
-    writer = hashlib.sha256(progress.rstrip("/").encode()).hexdigest()[:8]
     totals = {"rows": 0, "rejected": 0}
 
     def write_step(step: DataFrame, number: int) -> None:

@@ -31,7 +31,8 @@ class TableSpec:
 
     ``valid`` conditions see landing values (a blank email is valid, a missing
     one is not). ``tidy`` replaces columns in place and ``derived`` then adds
-    columns computed from the tidied ones.
+    columns computed from the tidied ones. ``ranged`` is a date column whose range
+    is noted per batch, so that readers of some of its values skip the other batches.
     """
 
     name: str
@@ -41,6 +42,7 @@ class TableSpec:
     tidy: dict[str, str]
     derived: dict[str, str] = field(default_factory=dict)
     retyped: dict[str, T.DataType] = field(default_factory=dict)
+    ranged: str | None = None
 
     @property
     def bronze(self) -> T.StructType:
@@ -116,6 +118,7 @@ ORDERS = TableSpec(
     },
     derived={"net_revenue": "round(unit_price * quantity * (1 - discount_pct), 2)"},
     retyped={"order_date": T.DateType()},
+    ranged="order_date",
 )
 
 CUSTOMERS = TableSpec(
