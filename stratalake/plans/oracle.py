@@ -55,6 +55,10 @@ def _avg_money(column: str) -> str:
     )
 
 
+def _all_cents(column: str) -> str:
+    return f"cast(sum(cast(round({column} * 100) AS bigint)) AS bigint) AS cents"
+
+
 def _staged(orders_audit: dict[str, str], master_audit: dict[str, str]) -> str:
     return f"""staged_orders AS (
  SELECT {_columns({**star.ORDERS, **orders_audit})}
@@ -172,6 +176,28 @@ ONE_BATCH = {
 }
 FULL_RUN = _cleaned(_staged(ONE_BATCH, ONE_BATCH))
 
+# Three daily deliveries: what a row looks like last, and when that version arrived.
+def _arrived(day: str) -> dict[str, str]:
+    return {
+        "_ingested_at": f"TIMESTAMP '2001-08-01 06:00:00' + to_days(cast({day} AS integer))",
+        "_source_file": "''",
+        "_batch_date": f"cast(DATE '2001-08-01' + cast({day} AS integer) AS date)",
+    }
+
+
+_LATE_COUNTRY = {"country": f"CASE WHEN c_custkey % 5 = 0 THEN 'late land' ELSE {star.CUSTOMERS['country']} END"}
+_CHEAPER = {
+    "unit_cost": f"CASE WHEN p_partkey % 7 = 0 THEN ({star.PRODUCTS['unit_cost']}) * 0.5::double ELSE {star.PRODUCTS['unit_cost']} END"
+}
+THREE_DAYS = _cleaned(f"""staged_orders AS (
+ SELECT {_columns({**star.ORDERS, **_arrived('l_suppkey % 3')})} FROM {star.ORDERS_FROM}),
+staged_customers AS (
+ SELECT {_columns({**star.CUSTOMERS, **_LATE_COUNTRY, **_arrived('CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 0 END')})}
+ FROM {star.CUSTOMERS_FROM}),
+staged_products AS (
+ SELECT {_columns({**star.PRODUCTS, **_CHEAPER, **_arrived('CASE WHEN p_partkey % 7 = 0 THEN 2 WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END')})}
+ FROM {star.PRODUCTS_FROM})""")
+
 WORDS = """SELECT word, count(*) AS count
  FROM (SELECT unnest(string_split_regex(text, '\\s+')) AS word FROM documents)
  WHERE word <> '' GROUP BY word"""
@@ -231,5 +257,33 @@ SELECT * REPLACE ({SECONDS}) FROM silver_orders""",
 FROM (WITH {FULL_RUN}, {PRODUCT_PERFORMANCE})""",
     "word_count": WORDS,
     "word_count_merge": WORDS,
+    "bronze_header_order": f"SELECT {_columns(star.ORDERS)} FROM {star.ORDERS_FROM}",
+    "bronze_file_lineage": f"""WITH {STAGED} SELECT {LANDING},
+ CASE WHEN _batch_date < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS folder FROM staged_orders""",
+    "bronze_json_dead_letter": f"""SELECT {_columns(JSON)}, {star.DAMAGE} = 0 AS complete
+FROM {star.ORDERS_FROM} WHERE {star.DAMAGE} < 2""",
+    "bronze_strict": f"""SELECT * FROM (SELECT {_columns(star.ORDERS)} FROM {star.ORDERS_FROM}
+ WHERE {star.DAMAGE} >= 6) WHERE order_id IS NOT NULL""",
+    "bronze_arrivals": f"SELECT {_columns(star.ORDERS)} FROM {star.ORDERS_FROM}"
+    f" WHERE {star.DAMAGE} >= 6",
+    "bronze_arrivals_dead_letter": f"""SELECT {star.RAW_ORDER_LINE} AS raw_line,
+ 'landing/orders' AS source_file, DATE '2001-08-01' AS batch_date
+FROM {star.ORDERS_FROM} WHERE {star.DAMAGE} < 6""",
+    "silver_incremental": f"""WITH {CLEAN}
+SELECT * REPLACE ({SECONDS}) FROM silver_orders""",
+    "silver_codec": f"WITH {CLEAN} SELECT 'snappy' AS codec, count(*) AS rows FROM silver_orders",
+    "gold_daily_order": f"""SELECT order_date, channel, total_revenue,
+ cast(row_number() OVER (ORDER BY order_date NULLS FIRST, channel NULLS FIRST) AS integer) AS place
+FROM (WITH {CLEAN} {DAILY})""",
+    "gold_all": f"""SELECT *, rows AS reported FROM (
+SELECT 'daily_revenue_by_channel' AS table_name, count(*) AS rows, {_all_cents('total_revenue')} FROM (WITH {CLEAN} {DAILY})
+UNION ALL SELECT 'customer_metrics', count(*), {_all_cents('lifetime_value_usd')} FROM (WITH {CLEAN}, {PROFILE} {CUSTOMER_METRICS})
+UNION ALL SELECT 'product_performance', count(*), {_all_cents('total_revenue')} FROM (WITH {CLEAN}, {PRODUCT_PERFORMANCE}))""",
+    "full_run_incremental": f"WITH {THREE_DAYS} {DAILY}",
+    "full_run_incremental_customers": f"WITH {THREE_DAYS}, {PROFILE} {CUSTOMER_METRICS}",
+    "full_run_incremental_products": f"""SELECT * EXCLUDE (_source_file)
+FROM (WITH {THREE_DAYS}, {PRODUCT_PERFORMANCE})""",
+    "command_line_run": f"WITH {FULL_RUN}, {PROFILE} {CUSTOMER_METRICS}",
+    "word_count_job": WORDS,
     "word_count_tsv": f"SELECT word || chr(9) || count AS value FROM ({WORDS})",
 }

@@ -16,6 +16,7 @@ from stratalake.operators.cleaning import apply_rules
 from stratalake.operators.dedup import latest_per_key
 from stratalake.operators.wordcount import as_tsv, merge_counts, word_count
 from stratalake.plans import bronze, full_run, gold, silver
+from stratalake.plans.queries_daily import DAILY_QUERIES
 from stratalake.session import scratch_dir
 from stratalake.sources import star_landing as star
 from stratalake.sources.landing import read_csv, read_json, read_lines
@@ -355,4 +356,5 @@ QUERIES: dict[str, Query] = {
     "word_count": word_counts,
     "word_count_merge": word_count_merge,
     "word_count_tsv": word_count_tsv,
+    **DAILY_QUERIES,
 }

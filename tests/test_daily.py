@@ -288,6 +288,67 @@ def test_versions_no_reader_needs_can_go(spark, path):
     assert refreshed(spark, path).touched == ()
 
 
+# Header lines and sizes
+
+
+def test_columns_follow_each_files_header(spark, path):
+    from stratalake.sources.landing import file_headers, read_csv
+
+    names = list(ORDERS.landing.names)
+    turned = [names[1], "note", *reversed(names[2:]), " order_id"]
+    write_file(path("landing", "a b.csv"), [order("o1"), order("o2")], header("orders"))
+    write_file(path("landing", "b.csv"), ["c9,x,shipped,store,0.5,2.5,3,2024-05-09,p7,o3", "c9,x,shipped,store,0.5,2.5,many,2024-05-09,p7,o4"], ",".join(turned))
+    write_file(path("landing", "c.csv"), ["o5,7"], '"order_id",quantity')
+    write_file(path("landing", "d.csv"), [], header("orders"))
+    (open(path("landing", "empty.csv"), "w")).close()
+    assert file_headers(spark, "orders", path("landing")).count() == 4
+    found = {r.order_id: r for r in read_csv(spark, "orders", path("landing"), by_header=True, keep_rejects=True).collect()}
+    assert list(found["o1"].asDict()) == [*names, "_corrupt_record"]
+    assert (found["o3"].customer_id, found["o3"].quantity, found["o3"].unit_price, found["o3"].status) == ("c9", 3, 2.5, "shipped")
+    assert found["o4"].quantity is None and found["o4"]._corrupt_record.startswith("c9,x") and found["o4"].channel == "store"
+    assert (found["o5"].quantity, found["o5"].status, found["o5"]._corrupt_record) == (7, None, None)
+    assert found["o1"].customer_id == "c1" and len(found) == 5
+    write_file(path("landing", "e.csv"), ["x"], "name")
+    with pytest.raises(ValueError, match="no header with order_id in 1 files.*e.csv"):
+        read_csv(spark, "orders", path("landing"), by_header=True)
+    with pytest.raises(ValueError, match="choose one"):
+        read_csv(spark, "orders", path("landing"), by_header=True, check_header=True)
+
+
+def test_ingests_bind_by_header_with_letters_and_lineage(spark, path):
+    turned = ",".join(reversed(ORDERS.landing.names))
+    write_file(path("landing", "a.csv"), [order("o1"), order("o2", quantity="x")], header("orders"))
+    write_file(path("landing", "b.csv"), [",".join(reversed(order("o3").split(",")))], turned)
+    options = {"by_header": True, "dead_letter": path("dead"), "lineage": "file", "ingested_at": DAY}
+    assert bronze.ingest(spark, "orders", path("landing"), path("batch"), **options).rejected == 1
+    options["dead_letter"] = path("dead2")
+    assert arrivals.ingest_arrivals(spark, "orders", path("landing"), path("bronze"), **options).rows == 3
+    for stored in ("batch", "bronze"):
+        found = read_bronze(spark, "orders", path(stored)).collect()
+        assert {(r.order_id, r.quantity, os.path.basename(r._source_file)) for r in found} == {("o1", 1, "a.csv"), ("o3", 1, "b.csv")}
+
+
+def test_stage_sizes_follow_the_input(spark, path):
+    from stratalake.plans.sizes import size_for
+    from stratalake.session import MB
+
+    keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    os.makedirs(path("big", "part"))
+    for name in ("a", "part/b"):
+        with open(path("big", name), "w") as f:
+            f.truncate(150 * 1024 * MB)  # a file with a hole: it takes no room
+    try:
+        assert size_for(spark, path("big"), path("none")) == 300
+        assert spark.conf.get(keys[0]) == "2400" and spark.conf.get(keys[1]) == str(128 * MB)
+        assert size_for(spark, path("big"), data_gb=0.5) == 0.5
+        assert spark.conf.get(keys[0]) == "128"
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 # Gold and the whole day
 
 
@@ -414,3 +475,47 @@ def test_gold_is_copied_before_it_becomes_current(spark, lake, path):
     daily(spark, lake, 1, targets=targets)
     for name in ("daily_revenue_by_channel", "customer_metrics", "product_performance"):
         assert rows_of(spark.read.parquet(path("copy", name))) == rows_of(read_gold(spark, lake.path("gold", name)))
+
+
+def test_versions_published_at_once(spark, lake):
+    first = full_run.run(spark, lake, ingested_at=DAY, at_once=True)
+    assert first.silver == {"orders": 2, "customers": 1, "products": 1} and first.gold["customer_metrics"] == 2
+    check_layers(spark, lake, DAY.date())
+    second = full_run.run(spark, lake, ingested_at=DAY + timedelta(days=1), at_once=True)
+    assert second.silver == first.silver
+    check_layers(spark, lake, (DAY + timedelta(days=1)).date())
+    # afterwards a delta finds what is new, and Gold is built in full once
+    bronze_path = lake.path("bronze", "orders")
+    write_file(f"{lake.path('landing', 'orders')}/more.csv", [order("o77")], header("orders"))
+    bronze.ingest(spark, "orders", lake.path("landing", "orders"), bronze_path, ingested_at=DAY + timedelta(days=2), source_name="x")
+    assert silver_delta.refresh(spark, "orders", bronze_path, lake.path("silver", "orders")).version == 3
+    done = gold_delta.update(spark, lake.path("silver"), lake.path("gold"), "daily_revenue")
+    assert (done.version, done.groups) == (3, 2)
+
+
+def test_command_line_of_the_daily_path(spark, lake, path):
+    from stratalake.__main__ import main
+
+    done = main(["run", "--root", lake.root, "--incremental", "--ingested-at", "2024-06-01T12:00:00+00:00"])
+    assert done.silver["orders"].added == 2
+    common = ["--table", "orders", "--landing", lake.path("landing", "orders"), "--bronze", path("b")]
+    options = ["--dead-letter", path("dead"), "--strict", "--lineage", "landing", "--check-header", "--multi-line"]
+    done = main(["bronze-new", *common, "--progress", path("progress"), *options])
+    assert (done.rows, done.rejected) == (6, 2)
+    common[-1] = path("c")
+    assert main(["bronze-arrivals", *common, "--by-header", "--files-per-step", "1"]).rows == 6
+    for table in TABLES:
+        main(["silver-delta", "--table", table, "--bronze", lake.path("bronze", table), "--silver", path("silver", table)])
+    done = main(["gold-delta", "--job", "all", "--silver", path("silver"), "--gold", path("gold"), "--as-of", "2024-06-01"])
+    assert {job: update.rows for job, update in done.items()} == {"daily_revenue": 2, "customer_metrics": 2, "product_performance": 1}
+    assert main(["silver-delta", "--rebuild", "--table", "orders", "--bronze", path("c"), "--silver", path("silver", "orders")]).version == 2
+
+
+def test_a_lost_progress_folder_is_noticed(spark, path):
+    from stratalake.streaming.incremental import ingest_new_files
+
+    write_file(path("landing", "a.csv"), [order("o1")], header("orders"))
+    ingest_new_files(spark, "orders", path("landing"), path("bronze"), path("progress"))
+    storage.delete(spark, path("progress"))
+    with pytest.raises(ValueError, match="lost"):
+        ingest_new_files(spark, "orders", path("landing"), path("bronze"), path("progress"))
