@@ -138,8 +138,8 @@ def test_audit_clock_defaults_to_now_and_is_one_per_call(spark):
     assert int(before.timestamp()) <= moments.pop() <= datetime.now(timezone.utc).timestamp()
 
 
-def test_row_count_preserved_and_reported(spark, path):
-    write_file(path("landing", "a.csv"), [ORDER.format(f"ord_{i}", i) for i in (3, 4, 5)])
+def test_an_ingest_keeps_and_counts_every_line(spark, path):
+    write_file(path("landing", "a.csv"), [ORDER.format(f"B/{i}", i) for i in (11, 12, 29)])
     result = bronze.ingest(spark, "orders", path("landing"), path("bronze"), ingested_at=DAY1)
     assert result == bronze.IngestResult("orders", date(2024, 1, 15), 3, 0)
     stored = read_bronze(spark, "orders", path("bronze"))

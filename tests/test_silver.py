@@ -17,15 +17,15 @@ from stratalake.sources.sinks import write_batch, write_partitioned
 from stratalake.tables import spec_for
 
 GOOD_ORDER = {
-    "order_id": "ord_1",
-    "customer_id": "c1",
-    "product_id": "p1",
-    "order_date": "2024-01-01",
+    "order_id": "A-17",
+    "customer_id": "buyer-3",
+    "product_id": "lamp-4",
+    "order_date": "2023-11-20",
     "quantity": 2,
-    "unit_price": 100.0,
-    "discount_pct": 0.1,
-    "channel": "online",
-    "status": "completed",
+    "unit_price": 63.6,
+    "discount_pct": 0.25,
+    "channel": "kiosk",
+    "status": "shipped",
     "_ingested_at": datetime(2024, 1, 1, 8),
     "_source_file": "f",
     "_batch_date": date(2024, 1, 1),
@@ -57,7 +57,7 @@ def product(spark, **change):
 
 def test_rows_without_a_key_leave_silver(spark):
     kept = apply_rules(orders(spark, {}, {"order_id": None}), "orders").collect()
-    assert [r.order_id for r in kept] == ["ord_1"]
+    assert [r.order_id for r in kept] == ["A-17"]
 
 
 def test_nonpositive_and_null_quantity_dropped(spark):
@@ -73,7 +73,7 @@ def test_nonpositive_and_null_price_dropped_but_nan_passes(spark):
 
 
 def test_revenue_is_net_of_the_discount(spark):
-    assert cleaned(spark).net_revenue == 180.0
+    assert cleaned(spark).net_revenue == 95.4
 
 
 def test_net_revenue_rounds_half_up_on_the_decimal_form(spark):
@@ -83,13 +83,13 @@ def test_net_revenue_rounds_half_up_on_the_decimal_form(spark):
 
 def test_discount_defaults_to_zero_and_is_not_range_checked(spark):
     row = cleaned(spark, discount_pct=None)
-    assert (row.discount_pct, row.net_revenue) == (0.0, 200.0)
-    assert cleaned(spark, discount_pct=1.5).net_revenue == -100.0
+    assert (row.discount_pct, row.net_revenue) == (0.0, 127.2)
+    assert cleaned(spark, discount_pct=1.5).net_revenue == -63.6
 
 
 def test_channels_are_tidied_and_status_lowercased(spark):
-    row = cleaned(spark, channel=" online ", status=" Shipped")
-    assert (row.channel, row.status) == ("ONLINE", "shipped")
+    row = cleaned(spark, channel="  Pop-up stall ", status=" On Hold")
+    assert (row.channel, row.status) == ("POP-UP STALL", "on hold")
 
 
 def test_trim_removes_spaces_only(spark):
@@ -240,7 +240,7 @@ def test_silver_files_round_trip_with_the_declared_schema(spark, path):
     assert dict(stored.dtypes)["order_date"] == "date"
     footer = dict(spark.read.parquet(path("silver")).dtypes)
     assert footer == dict(stored.dtypes)
-    assert stored.where("order_id = 'ord_1'").collect()[0].net_revenue == 180.0
+    assert stored.where("order_id = 'A-17'").collect()[0].net_revenue == 95.4
     assert read_silver(spark, "orders", path("silver"), until=date(2024, 1, 31)).count() == 1
     assert spec_for("products").silver.names[-2:] == ["margin_pct", "_batch_date"]
 
