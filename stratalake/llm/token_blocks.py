@@ -3,7 +3,7 @@
 File format (little endian), one shard file after another in ascending document order:
 
     magic "PFB1" | u32 ids per block | u64 ids | u32 documents | u32 blocks
-    documents x (i64 doc_id, u64 ids)                     document index
+    documents x (i64 doc_id, u64 ids, u8 1 if there is a doc_id)   document index
     blocks x (u64 start, u32 minimum, u8 width, u8 0, u16 exceptions)   block index
     payload of u32 words: per block the low ``width`` bits of (id - minimum), then the
     positions of exceptions (u16, padded to a word), then their high bits (u32)
@@ -28,13 +28,14 @@ from pyspark.sql import functions as F
 from stratalake.session import scratch_dir
 
 from .common import map_arrow
-from .encode import encoder
+from .encode_columns import column_encoder
+from .words import shards
 
 BLOCK, PERCENTILE = 256, 90
 #: Ids gathered before a shard file is closed; a document lies in one shard.
 SHARD_IDS = 4_000_000
 _HEAD = struct.Struct("<4sIQII")
-_DOCS = np.dtype([("doc_id", "<i8"), ("ids", "<u8")])
+_DOCS = np.dtype([("doc_id", "<i8"), ("ids", "<u8"), ("known", "u1")])
 _BLOCKS = np.dtype([("start", "<u8"), ("minimum", "<u4"), ("width", "u1"), ("pad", "u1"), ("exceptions", "<u2")])
 
 
@@ -63,7 +64,7 @@ def _unpack(words: np.ndarray, width: int, rows: int) -> np.ndarray:
     return out.T.reshape(rows, -1)
 
 
-def encode_shard(doc_ids: list[int], docs: list[np.ndarray], block: int = BLOCK, percentile: int = PERCENTILE) -> bytes:
+def encode_shard(doc_ids: list[int | None], docs: list[np.ndarray], block: int = BLOCK, percentile: int = PERCENTILE) -> bytes:
     """A shard file's bytes; ``block`` is a multiple of 64, ids are below 2**32."""
     ids = np.concatenate([np.zeros(0, np.uint32), *docs]).astype(np.uint32)
     blocks = -(-len(ids) // block)
@@ -73,7 +74,7 @@ def encode_shard(doc_ids: list[int], docs: list[np.ndarray], block: int = BLOCK,
         padded[len(ids) :] = ids[-1]
     rows = padded.reshape(blocks, block)
     index = np.zeros(blocks, dtype=_BLOCKS)
-    index["minimum"] = rows.min(axis=1, initial=1 << 32 - 1) if blocks else 0
+    index["minimum"] = rows.min(axis=1, initial=(1 << 32) - 1) if blocks else 0
     delta = rows - index["minimum"][:, None]
     at = min(block - 1, block * percentile // 100)
     typical = np.partition(delta, at, axis=1)[:, at] if blocks else np.zeros(0, np.uint32)
@@ -98,7 +99,8 @@ def encode_shard(doc_ids: list[int], docs: list[np.ndarray], block: int = BLOCK,
     payload.view("<u2")[2 * lists[row] + rank] = pos
     payload[lists[row] + (count[row] + 1) // 2 + rank] = high[row, pos]
     documents = np.zeros(len(docs), dtype=_DOCS)
-    documents["doc_id"], documents["ids"] = doc_ids, [len(d) for d in docs]
+    documents["doc_id"], documents["ids"] = [0 if i is None else i for i in doc_ids], [len(d) for d in docs]
+    documents["known"] = [i is not None for i in doc_ids]
     head = _HEAD.pack(b"PFB1", block, len(ids), len(docs), blocks)
     return head + documents.tobytes() + index.tobytes() + payload.tobytes()
 
@@ -133,7 +135,8 @@ def _writer(folder: str, path: str, end: int | None, shard_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         fs, base = pafs.FileSystem.from_uri(folder)
-        known, doc_ids, docs, size, seq = encoder(path), [], [], 0, 0
+        known, doc_ids, docs, size, seq = column_encoder(path), [], [], 0, 0
+        closing = np.array([] if end is None else [end], dtype=np.uint32)
 
         def close() -> pa.RecordBatch:
             # The same rows give the same file, so a task that runs again replaces it.
@@ -143,10 +146,11 @@ def _writer(folder: str, path: str, end: int | None, shard_ids: int):
             fs.move(draft, f"{base}/{name}")
             return pa.RecordBatch.from_pydict({"shard": [name], "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "ids": [size]})
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.frombuffer(known.encode(text.as_py()), known.dtype)
-                docs.append(ids if end is None else np.append(ids, np.asarray([end], dtype=np.uint32)))
+        for texts in shards(batches, "text"):
+            ids, offsets = known.encode(texts["text"])
+            cuts = offsets.tolist()
+            for doc_id, a, b in zip(texts["doc_id"].to_pylist(), cuts, cuts[1:], strict=False):
+                docs.append(np.concatenate([ids[a:b], closing]))
                 doc_ids.append(doc_id)
                 size += len(docs[-1])
                 if size >= shard_ids:
@@ -161,15 +165,15 @@ def _writer(folder: str, path: str, end: int | None, shard_ids: int):
 def write_tokens(docs: DataFrame, path: str, end: int | None, folder: str, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Encode ``docs(doc_id, text)`` with a vocabulary file and write shards in ascending doc_id order.
 
-    Null texts are empty, rows without doc_id are an error (the format needs one);
-    equal doc_ids follow each other by text. Documents are dealt by ranges of doc_id,
+    Null texts are empty, rows without doc_id come first and keep none; equal doc_ids
+    follow each other by text. Documents are dealt by ranges of doc_id,
     encoded and written where they land; no task holds more than a shard. Returns the
     manifest, stored beside the shards: (shard, part, seq, ids). ``folder`` must be
     one that all executors reach.
     """
     pafs.FileSystem.from_uri(folder)[0].create_dir(pafs.FileSystem.from_uri(folder)[1], recursive=True)
     rows = docs.select(
-        F.coalesce("doc_id", F.raise_error(F.lit("a document has no doc_id"))).cast("long").alias("doc_id"),
+        F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
     # Long texts: few rows an Arrow batch is what bounds a task's memory.
@@ -187,7 +191,7 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = ends - documents["ids"].astype(np.int64)
             raw = ids.astype("<u4", copy=False)
             yield pa.RecordBatch.from_pydict({
-                "shard": [name] * len(documents), "doc_id": documents["doc_id"], "start": starts, "n_tokens": ends - starts,
+                "shard": [name] * len(documents), "doc_id": pa.array(documents["doc_id"], mask=documents["known"] == 0), "start": starts, "n_tokens": ends - starts,
                 "ids_crc32": pa.array([zlib.crc32(raw[a:b]) for a, b in zip(starts, ends, strict=True)], pa.int64()),
             })
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -86,6 +87,8 @@ class Words:
             self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int32)
         self.doc = (np.searchsorted(offsets, self.starts, side="right") - 1).astype(np.int32)
         self.documents = len(column)
+        #: where each text starts
+        self.first = offsets[:-1]
         self.data = np.zeros(len(data) + 8, dtype=np.uint8)
         self.data[: len(data)] = LOWER[data] if lower else data
         self._eights = np.ndarray(len(data) + 1, dtype=">u8", buffer=self.data, strides=(1,))
@@ -109,6 +112,24 @@ class Words:
             which = which[self.lengths[which] > 8 * depth]
         return h
 
+    def narrowed(self, starts: np.ndarray, lengths: np.ndarray) -> Words:
+        """Pointers of one's own choice into the same texts; they belong to no text."""
+        view = copy.copy(self)
+        view.starts, view.lengths, view.doc = starts, lengths.astype(np.int32), np.zeros(len(starts), np.int32)
+        return view
+
+    def equal(self, other: np.ndarray) -> bool:
+        """Whether every word has the same bytes as the word numbered ``other`` in its place."""
+        if not np.array_equal(self.lengths, self.lengths[other]):
+            return False
+        depth, which = 0, np.arange(len(self.starts))
+        while len(which):
+            if not np.array_equal(self.slices(depth, which), self.slices(depth, other[which])):
+                return False
+            depth += 1
+            which = which[self.lengths[which] > 8 * depth]
+        return True
+
     def sorted_runs(self) -> tuple[np.ndarray, np.ndarray]:
         """Pointers in the order of their words' bytes, and for each the number of its run of equal words.
 
@@ -147,7 +168,7 @@ class Words:
         lengths = self.lengths[which].astype(np.int64)
         offsets = np.zeros(len(which) + 1, dtype=np.int64)
         np.cumsum(lengths, out=offsets[1:])
-        places = np.arange(offsets[-1]) + np.repeat(self.starts[which] - offsets[:-1], lengths)
+        places = gathered(self.starts[which], lengths)
         kind, width = (pa.string(), np.int32) if offsets[-1] < 1 << 31 else (pa.large_string(), np.int64)
         return pa.Array.from_buffers(
             kind, len(which), [None, pa.py_buffer(offsets.astype(width)), pa.py_buffer(self.data[places])]
@@ -173,6 +194,12 @@ class Words:
         return body[inside], offsets
 
 
+def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices ``start, start + 1, ...`` of every stretch, one stretch after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A reversible mix of 64-bit numbers."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

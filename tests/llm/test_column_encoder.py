@@ -1,0 +1,77 @@
+"""Token ids by column against the tokenizer, and token files of rows without a doc_id."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from stratalake.llm import encode_columns
+from stratalake.llm.encode_columns import ColumnEncoder
+from stratalake.llm.token_blocks import decode_shard, encode_shard, token_blocks
+from stratalake.llm.words import Words
+
+WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+LETTERS = [
+    *"ab  \n\t é'sΣ.!,1²<|\x00\x0b\x0c\x1c\x85\xa0×÷_-", "<|endoftext|>", "<|", "  ", " 's", "中文", "\r\n", "İ", "ß", "Word, ", "word.\nNext ",
+    "É", "Ü.", "end&&&", "end.***", "it's", "̈", " ́x", "ﬁ", "Å", "ẛ̣",
+]
+
+
+def texts():
+    rng = random.Random(2)
+    found = ["".join(rng.choices(LETTERS, k=rng.randint(0, 30))) for _ in range(4000)]
+    found += [" ".join(rng.choices(["Alpha", "beta,", "Über", "über.", "x\ny", "n!!", "é", "ÉÀ##"], k=rng.randint(0, 9))) for _ in range(2000)]
+    return [*found, "", " ", "\n", "a\n", "\na", " a", "a b\nc d", "a\n\nb", "word " * 300_000]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_columns_give_the_tokenizers_ids(path):
+    column, known = texts(), ColumnEncoder(path)
+    ids, offsets = known.encode(pa.array(["skipped", *column]).slice(1))
+    expected = Tokenizer.from_file(path).encode_batch(column, add_special_tokens=False)
+    assert len(offsets) == len(column) + 1
+    for text, found, a, b in zip(column, expected, offsets, offsets[1:], strict=False):
+        assert ids[a:b].tolist() == found.ids, repr(text[:60])
+    assert 0.3 < known._plain(pa.array(column)).mean() < 1
+    assert [len(x) for x in known.encode(pa.array([], pa.string()))] == [0, 1]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_that_share_a_hash_are_told_apart(path, monkeypatch):
+    monkeypatch.setattr(Words, "hashes", lambda self, seed=0: np.zeros(len(self.starts), np.uint64))
+    known = ColumnEncoder(path)
+    column = ["one two, one", "two!! three\nfour", "É é"]
+    ids, offsets = known.encode(pa.array(column))
+    for text, a, b in zip(column, offsets, offsets[1:], strict=False):
+        assert ids[a:b].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_other_kinds_of_tokenizer_go_text_by_text(monkeypatch):
+    known = ColumnEncoder(WORDS)
+    monkeypatch.setattr(known.texts, "drops_blanks", False)
+    ids, offsets = known.encode(pa.array(["a b", "", "c"]))
+    assert ids.tolist() == Tokenizer.from_file(WORDS).encode("a b c", add_special_tokens=False).ids and offsets.tolist() == [0, 2, 2, 3]
+    assert encode_columns.column_encoder(WORDS) is encode_columns.column_encoder(WORDS)
+
+
+def test_rows_without_a_doc_id_come_first(spark):
+    rows = [(5, "b"), (None, "z"), (-3, "a a"), (None, None), (5, "a")]
+    found = sorted(map(tuple, token_blocks(spark.createDataFrame(rows, "doc_id long, text string"), WORDS, 2).collect()), key=lambda r: r[1])
+    tokenizer, at, expected = Tokenizer.from_file(WORDS), 0, []
+    for doc_id, text in [(None, ""), (None, "z"), (-3, "a a"), (5, "a"), (5, "b")]:
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        expected.append((doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert found == expected
+
+
+def test_a_block_of_large_ids_keeps_its_minimum():
+    data = encode_shard([1, None], [np.full(10, 2**32 - 2, np.uint32), np.full(3, 2**31 + 5, np.uint32)])
+    documents, ids = decode_shard(data)
+    assert ids.tolist() == [2**32 - 2] * 10 + [2**31 + 5] * 3 and documents["known"].tolist() == [1, 0]
+    high = encode_shard([1], [np.full(10, 2**32 - 2, np.uint32)])
+    assert int.from_bytes(high[24 + 17 + 8 : 24 + 17 + 12], "little") == 2**32 - 2
