@@ -84,12 +84,13 @@ def _pages(spark: SparkSession, root: str, page: int) -> Iterator[list[tuple[str
         while entries.hasNext():
             status = entries.next()
             path = status.getPath()
-            if not _visible(path.getName()):
+            name = path.toString()
+            if not _visible(name.rsplit("/", 1)[1]):
                 continue
             if status.isDirectory():
                 folders.append(path)
                 continue
-            held.append((path.toString(), status.getLen(), status.getModificationTime()))
+            held.append((name, status.getLen(), status.getModificationTime()))
             if len(held) == page:
                 yield held
                 held = []
