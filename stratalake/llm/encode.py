@@ -11,13 +11,14 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Pieces remembered by a Python worker (about 220 bytes each), and characters looked at in one go.
-REMEMBERED, STRETCH = 1_000_000, 1_000_000
+REMEMBERED, STRETCH = 300_000, 1_000_000
 #: A word of Latin letters with at most one mark behind it, in which no letter is rewritten by NFC.
 _WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.]?)")
 #: A blank beside other white space: tokens may span them.
 _RUN = re.compile(r" \s|\s ")
 _OTHER_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-_ENCODERS: dict[str, "PieceEncoder"] = {}
+#: This worker's encoders, by text and by column.
+_ENCODERS: dict = {}
 
 
 def _byte_letters() -> list[str]:

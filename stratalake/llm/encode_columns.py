@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import functools
 import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .encode import PieceEncoder, encoder
+from .encode import _ENCODERS, PieceEncoder, encoder
 from .words import Words, byte_class, gathered
 
 #: White space as the encoders' own per-text code sees it.
@@ -20,8 +19,10 @@ _LETTERS = byte_class((65, 90), (97, 122), (0xC3, 0xC3), (0x80, 0x96), (0x98, 0x
 _MARKS = byte_class((33, 38), (40, 47), (58, 64), (91, 96), (123, 126))
 _NOT_BLANK = byte_class((0, 8), (14, 31), (33, 255))
 _NOT_SPACE = byte_class((0, 9), (11, 31), (33, 255))
-#: Words encoded by one call.
-_CALL = 2000
+#: Words encoded by one call, and words whose ids a worker remembers from one shard to the next.
+_CALL, REMEMBERED = 2000, 400_000
+#: Text bytes encoded in one go.
+SHARD_BYTES = 8 << 20
 #: What stands before a word: nothing, a space or a line feed.
 _FIRST, _SPACE, _LINE = 0, 1, 2
 
@@ -51,6 +52,7 @@ class ColumnEncoder:
 
         self.texts: PieceEncoder = encoder(path)
         self.dtype = self.texts.dtype
+        self.known: dict[bool, tuple[dict[str, int], np.ndarray, np.ndarray]] = {}
         if self.texts.keeps_blanks or self.texts.drops_blanks:
             self.lines = Tokenizer(self.texts.model)
             self.lines.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
@@ -70,10 +72,25 @@ class ColumnEncoder:
         return ~pc.match_substring_regex(column, "|".join(parts)).to_numpy(zero_copy_only=False)
 
     def _letters(self, words: list[str], lead: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of plain words, many by one call, and how many each has."""
-        letters = self.texts.letters
+        """Ids of plain words and how many each has; words of the shards before may still be known."""
         if self.texts.drops_blanks:
             words = [w if w.isascii() else w.lower() for w in words]
+        known, flat, sizes = self.known.get(lead) or ({}, np.empty(0, self.dtype), np.empty(0, np.int64))
+        if len(known) > REMEMBERED:
+            known, flat, sizes = {}, flat[:0], sizes[:0]
+        if new := [w for w in dict.fromkeys(words) if w not in known]:
+            ids, many = self._encoded(new, lead)
+            if len(many) != len(new):
+                raise RuntimeError("the vocabulary does not mark the edges of words")
+            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            flat, sizes = np.concatenate([flat, ids]), np.concatenate([sizes, many])
+        self.known[lead] = known, flat, sizes
+        at = np.array([known[w] for w in words], dtype=np.int64)
+        return flat[gathered((np.cumsum(sizes) - sizes)[at], sizes[at])], sizes[at]
+
+    def _encoded(self, words: list[str], lead: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, many by one call, and how many each has."""
+        letters = self.texts.letters
         space = letters[32] if lead and self.texts.keeps_blanks else ""
         parts, sizes = [np.empty(0, self.dtype)], [np.empty(0, np.int64)]
         for a in range(0, len(words), _CALL):
@@ -108,8 +125,6 @@ class ColumnEncoder:
         for side in (False, True):
             own = np.flatnonzero(lead[chosen] == side)
             ids, many = self._letters(bare.texts(chosen[own]).to_pylist(), side)
-            if len(many) != len(own):
-                raise RuntimeError("the vocabulary does not mark the edges of words")
             at[own] = np.arange(len(own)) + sum(map(len, sizes))
             flat.append(ids)
             sizes.append(many)
@@ -175,7 +190,9 @@ class ColumnEncoder:
         return np.concatenate([np.empty(0, self.dtype), *found]), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
 
 
-@functools.cache
 def column_encoder(path: str) -> ColumnEncoder:
-    """This Python worker's column encoder for a vocabulary file."""
-    return ColumnEncoder(path)
+    """This Python worker's column encoder for a vocabulary file, until ``encode.forget``."""
+    name = f"columns of {path}"
+    if name not in _ENCODERS:
+        _ENCODERS[name] = ColumnEncoder(path)
+    return _ENCODERS[name]

@@ -28,12 +28,12 @@ from pyspark.sql import functions as F
 from stratalake.session import scratch_dir
 
 from .common import map_arrow
-from .encode_columns import column_encoder
+from .encode_columns import SHARD_BYTES, column_encoder
 from .words import shards
 
 BLOCK, PERCENTILE = 256, 90
 #: Ids gathered before a shard file is closed; a document lies in one shard.
-SHARD_IDS = 4_000_000
+SHARD_IDS = 2_000_000
 _HEAD = struct.Struct("<4sIQII")
 _DOCS = np.dtype([("doc_id", "<i8"), ("ids", "<u8"), ("known", "u1")])
 _BLOCKS = np.dtype([("start", "<u8"), ("minimum", "<u4"), ("width", "u1"), ("pad", "u1"), ("exceptions", "<u2")])
@@ -146,7 +146,7 @@ def _writer(folder: str, path: str, end: int | None, shard_ids: int):
             fs.move(draft, f"{base}/{name}")
             return pa.RecordBatch.from_pydict({"shard": [name], "part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "ids": [size]})
 
-        for texts in shards(batches, "text"):
+        for texts in shards(batches, "text", SHARD_BYTES):
             ids, offsets = known.encode(texts["text"])
             cuts = offsets.tolist()
             for doc_id, a, b in zip(texts["doc_id"].to_pylist(), cuts, cuts[1:], strict=False):

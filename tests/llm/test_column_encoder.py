@@ -29,7 +29,7 @@ def texts():
 
 
 @pytest.mark.parametrize("path", [WORDS, BYTES])
-def test_columns_give_the_tokenizers_ids(path):
+def test_columns_give_the_tokenizers_ids(path, monkeypatch):
     column, known = texts(), ColumnEncoder(path)
     ids, offsets = known.encode(pa.array(["skipped", *column]).slice(1))
     expected = Tokenizer.from_file(path).encode_batch(column, add_special_tokens=False)
@@ -38,6 +38,10 @@ def test_columns_give_the_tokenizers_ids(path):
         assert ids[a:b].tolist() == found.ids, repr(text[:60])
     assert 0.3 < known._plain(pa.array(column)).mean() < 1
     assert [len(x) for x in known.encode(pa.array([], pa.string()))] == [0, 1]
+    monkeypatch.setattr(encode_columns, "REMEMBERED", 3)  # what was remembered is dropped and found again
+    for _ in range(3):
+        again, _ = known.encode(pa.array(column[:300]))
+        assert (again == ids[: len(again)]).all()
 
 
 @pytest.mark.parametrize("path", [WORDS, BYTES])
