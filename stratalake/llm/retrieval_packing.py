@@ -1,4 +1,4 @@
-"""Lexical retrieval packing: documents share a window with their nearest neighbours under BM25."""
+"""Lexical retrieval packing: documents share a window with their nearest unused neighbours under BM25."""
 
 from __future__ import annotations
 
@@ -13,16 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, written
-from .encode import encoder
+from .encode_columns import SHARD_BYTES, column_encoder
+from .words import shards
 
-#: Documents of a block of the search, blocks a task searches in, neighbours listed per document.
-BLOCK, SEARCHED, NEIGHBOURS = 2048, 32, 32
+#: Documents of a shard of the index, and shards that a task packs one after the other.
+SHARD, IN_TURN = 2048, 4
+#: Within a shard: documents that query in one go, and blocks of that many that they are scored against in one go.
+BLOCK, SEARCHED = 512, 4
 #: Share of the documents from which a term is a dense column, and additions made in one go for the other terms.
 DENSE, ADDED = 0.03, 4_000_000
-NONE = np.iinfo(np.uint32).max
 K1, B = 1.2, 0.75
-#: Pieces of text whose ids a worker remembers; little else needs its memory here.
-REMEMBERED = 2_000_000
+#: Terms that decide which documents come into one shard: the rarest that others hold too.
+RAREST = 3
+_KEYS = ["first", "second", "third", "crc"]
 _PIECE = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
           ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -41,23 +44,25 @@ def _tokenizer(path: str, end: int, window: int):
     """Per document one row: its full windows as finished pieces, the ids of what is left, its terms and their counts."""
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = encoder(path, REMEMBERED)
-        closing = np.array([end], known.dtype).tobytes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+        known = column_encoder(path)
+        closing = np.array([end], known.dtype)
+        for texts in shards(batches, "text", SHARD_BYTES):
+            whole, offsets = known.encode(texts["text"])
+            cuts = offsets.tolist()
+            for at in range(0, texts.num_rows, 1024):
                 tails, totals, crcs, terms, counts = [], [], [], [], []
-                for text in part.column("text"):
-                    ids = np.frombuffer(known.encode(text.as_py()) + closing, known.dtype)
+                for a, b in zip(cuts[at : at + 1024], cuts[at + 1 : at + 1025], strict=False):
+                    ids = np.concatenate([whole[a:b], closing])
                     full = len(ids) // window * window
                     crcs.append([_crc(ids[a : a + window]) for a in range(0, full, window)])
                     tails.append(ids[full:].tobytes())
                     totals.append(len(ids))
-                    found, tf = np.unique(ids, return_counts=True)
-                    terms.append(found.tobytes())
-                    counts.append(tf.astype("<u4").tobytes())
+                    ordered = np.sort(ids)
+                    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+                    terms.append(ordered[first].tobytes())
+                    counts.append(np.diff(first, append=len(ids)).astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(totals, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), *(pa.array(c, pa.binary()) for c in (tails, terms, counts))],
+                    [texts["doc_id"].slice(at, 1024).combine_chunks(), pa.array(totals, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), *(pa.array(c, pa.binary()) for c in (tails, terms, counts))],
                     names=["doc_id", "doc_tokens", "crcs", "tail", "terms", "counts"],
                 )
 
@@ -99,6 +104,12 @@ class _Block:
         self.terms, self.counts = terms.astype(np.int64), counts.astype(float)
         self.column = corpus.column[self.terms]
 
+    def part(self, first: int, stop: int) -> _Block:
+        """Some of the documents, which follow each other."""
+        a, b = np.searchsorted(self.owner, [first, stop])
+        held = np.bincount(self.owner[a:b] - first, minlength=min(stop, self.n) - first)
+        return _Block(self.corpus, self.terms[a:b], self.counts[a:b], held)
+
     def _split(self, weight: np.ndarray) -> tuple:
         dense = self.column >= 0
         matrix = np.zeros((self.n, self.corpus.width))
@@ -134,65 +145,58 @@ def _scores(query: tuple, index: tuple) -> np.ndarray:
     return np.round(score, 6)  # sums of equal documents are equal
 
 
-def _best(score: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``most`` best of each row, ties by id."""
-    order = np.lexsort((ids, -score), axis=1)[:, :most]
-    return np.take_along_axis(score, order, 1), np.take_along_axis(ids, order, 1)
-
-
-def _add(best: tuple, score: np.ndarray, base: int, most: int) -> None:
-    """Take the scores of documents ``base``, ``base + 1`` ... into the lists ``best``; what shares no term is no neighbour."""
-    rows = np.flatnonzero(score.max(axis=1) > 0)
-    rows = rows[score[rows].max(axis=1) >= best[0][rows, -1]]
-    if not len(rows):
-        return
-    keyed = np.arange(score.shape[1]) * 1e-10 - score[rows]
-    at = np.argpartition(keyed, most - 1, axis=1)[:, :most] if score.shape[1] > most else np.broadcast_to(np.arange(score.shape[1]), keyed.shape)
-    new = np.take_along_axis(score[rows], at, 1)
-    ids = np.where(new > 0, at + base, NONE)
-    both = np.concatenate([best[0][rows], new], 1), np.concatenate([best[1][rows], ids], 1)
-    best[0][rows], best[1][rows] = _best(*both, most)
-
-
-def _empty(n: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.zeros((n, most)), np.full((n, most), NONE, np.int64)
+def _all_scores(block: _Block) -> np.ndarray:
+    """Scores of all documents of a shard for each other."""
+    score = np.zeros((block.n, block.n))
+    for b in range(0, block.n, BLOCK * SEARCHED):
+        index = block.part(b, b + BLOCK * SEARCHED).index()
+        for a in range(0, block.n, BLOCK):
+            score[a : a + BLOCK, b : b + BLOCK * SEARCHED] = _scores(block.part(a, a + BLOCK).query(), index)
+    np.fill_diagonal(score, 0)
+    return score
 
 
-def walk(sizes: np.ndarray, lists: np.ndarray, window: int) -> np.ndarray:
+def walk(sizes: np.ndarray, score: np.ndarray, alike: np.ndarray, window: int) -> np.ndarray:
     """Where each document starts in one stream of all their ids that is cut into windows.
 
-    The document that is cut, or else the first of a window, is its seed. It is followed by
-    the unused documents of its list, then by those of the lists of the documents that
-    followed it, in their order, then by the first unused document.
+    The document that is cut, or else the first of a window, is its seed: it is followed by
+    the best of all unused documents for it, as long as the window has room, then by the
+    first unused document. ``score[seed]`` ranks documents, 0 is no neighbour. Documents
+    with the same number in ``alike`` are copies of one; while there are others, no two of
+    them come into one window.
     """
-    start, waiting, at, n = np.full(len(sizes), -1, np.int64), 0, 0, len(sizes)
-    used, sizes = bytearray(n), sizes.tolist()
-    held, turn, queue = [], 0, iter(())
+    start, n, at = np.full(len(sizes), -1, np.int64), len(sizes), 0
+    used, sizes, alike = np.zeros(n, dtype=bool), sizes.tolist(), alike.tolist()
+    waiting, inside, ranked = 0, set(), None
     while True:
         nxt = -1
-        while nxt < 0:
-            for found in queue:
-                if found == NONE:
-                    break
-                if not used[found]:
+        if ranked is not None:
+            for found in ranked:
+                if not used[found] and alike[found] not in inside:
                     nxt = found
                     break
-            if nxt >= 0 or turn == len(held):
-                break
-            queue, turn = iter(lists[held[turn]].tolist()), turn + 1
         if nxt < 0:
+            ranked = None if ranked is None else iter(())
             while waiting < n and used[waiting]:
                 waiting += 1
             if waiting == n:
                 return start
-            nxt = waiting
-        used[nxt] = 1
+            free = np.flatnonzero(~used[waiting:]) + waiting if alike[waiting] in inside else [waiting]
+            nxt = next((int(i) for i in free if alike[i] not in inside), waiting)
+        used[nxt] = True
         start[nxt] = at
         before, at = at // window, at + sizes[nxt]
         if at // window > before:  # what is cut leads the next window; else the next document does
-            held, turn, queue = [nxt] if at % window else [], 0, iter(())
+            seed = nxt if at % window else -1
+            inside = {alike[nxt]} if at % window else set()
         else:
-            held.append(nxt)
+            inside.add(alike[nxt])
+            seed = nxt if ranked is None else -2
+        if seed == -1:
+            ranked = None
+        elif seed >= 0:
+            near = np.flatnonzero((score[seed] > 0) & ~used)
+            ranked = iter(near[np.argsort(-score[seed][near], kind="stable")].tolist())
 
 
 def _bounds(total: int, window: int) -> np.ndarray:
@@ -221,6 +225,21 @@ def _cut(start: int, size: int, total: int, window: int, last: np.ndarray) -> It
         a = b
 
 
+def _alike(keys: list) -> np.ndarray:
+    """Numbers of equal keys; a key of None is like no other."""
+    known: dict = {}
+    return np.array([known.setdefault(i if key is None else (key,), len(known)) for i, key in enumerate(keys)], dtype=np.int64)
+
+
+def _packed(block: _Block, sizes: np.ndarray, keys: list, window: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """``(document, from, to, sequence, offset)`` of all pieces of a shard's documents."""
+    start, total = walk(sizes, _all_scores(block), _alike(keys), window), int(sizes.sum())
+    last = _bounds(total, window)
+    for doc in np.argsort(start, kind="stable").tolist():
+        for a, b, number, offset in _cut(int(start[doc]), int(sizes[doc]), total, window, last):
+            yield doc, a, b, number, offset
+
+
 def pack_shard(docs: list[np.ndarray], window: int) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces ``(document, from, to)`` of documents in memory."""
     if not docs:
@@ -229,144 +248,83 @@ def pack_shard(docs: list[np.ndarray], window: int) -> list[list[tuple[int, int,
     terms, counts = (np.concatenate([f[i] for f in found]).astype(np.int64) for i in (0, 1))
     sizes = np.array([len(d) for d in docs])
     block = _Block(_Corpus(len(docs), int(sizes.sum()), np.bincount(terms)), terms, counts, np.array([len(f[0]) for f in found]))
-    score = _scores(block.query(), block.index())
-    np.fill_diagonal(score, 0)
-    best = _empty(len(docs), NEIGHBOURS)
-    _add(best, score, 0, NEIGHBOURS)
-    start, total = walk(sizes, best[1], window), int(sizes.sum())
-    last, out = _bounds(total, window), {}
-    for doc in np.argsort(start):
-        for a, b, number, _ in _cut(int(start[doc]), len(docs[doc]), total, window, last):
-            out.setdefault(number, []).append((int(doc), a, b))
+    out: dict[int, list] = {}
+    for doc, a, b, number, _ in _packed(block, sizes, [None] * len(docs), window):
+        out.setdefault(number, []).append((doc, a, b))
     return [out[k] for k in sorted(out)]
 
 
-_BLOCK = "block long, doc_ids array<long>, totals array<long>, sizes binary, tails binary, held binary, terms binary, counts binary"
+def _rarest(df: np.ndarray, terms: list[bytes], width: int) -> np.ndarray:
+    """Per document its ``RAREST`` rarest terms among those that another document holds, -1 where there are none."""
+    held = np.array([len(t) // width for t in terms])
+    ids = np.frombuffer(b"".join(terms), f"<u{width}").astype(np.int64)
+    # one number per term that orders them: how many documents hold it, then which it is
+    keys = np.where(df[ids] > 1, df[ids] * len(df) + ids, np.iinfo(np.int64).max)
+    owner = np.repeat(np.arange(len(terms)), held)
+    first = np.cumsum(held) - held
+    out = np.full((len(terms), RAREST), -1, np.int64)
+    some = held > 0
+    for i in range(RAREST):
+        least = np.minimum.reduceat(keys, first[some]) if some.any() else keys[:0]
+        found = least < np.iinfo(np.int64).max
+        out[np.flatnonzero(some)[found], i] = least[found] % len(df)
+        lowest = np.full(len(terms), -1, np.int64)
+        lowest[some] = least
+        keys[keys == lowest[owner]] = np.iinfo(np.int64).max
+    return out
+
+
+def _dealer(df: np.ndarray, width: int):
+    """Documents with the keys they are dealt by: their rarest terms, then a checksum that equal tails share."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys = _rarest(df, batch.column("terms").to_pylist(), width)
+                crc = pa.array([zlib.crc32(t) for t in batch.column("tail").to_pylist()], pa.int64())
+                names = [*batch.schema.names, *_KEYS]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in keys.T), crc], names=names)
+
+    return deal
 
 
-def _blocker(width: int, most: int):
-    """Rows in order as blocks of ``most`` documents, a row each."""
+def _packer(corpus: _Corpus, width: int, window: int, most: int):
+    """Rows in order as shards of about ``most`` documents, each indexed, searched and packed."""
 
-    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
 
         def one(rows: pa.Table) -> pa.RecordBatch:
             nonlocal count
+            rows = rows.sort_by([("doc_id", "ascending"), ("doc_tokens", "ascending")])
             tails, terms, counts = (rows[c].to_pylist() for c in ("tail", "terms", "counts"))
-            sizes, held = (np.array([len(x) // width for x in c], "<i8").tobytes() for c in (tails, terms))
-            values = {"block": part << 33 | count, "doc_ids": rows["doc_id"].to_pylist(), "totals": rows["doc_tokens"].to_pylist(), "sizes": sizes,
-                      "tails": b"".join(tails), "held": held, "terms": b"".join(terms), "counts": b"".join(counts)}
-            count += 1
-            lists = {"doc_ids": pa.list_(pa.int64()), "totals": pa.list_(pa.int64()), "block": pa.int64()}
-            return pa.RecordBatch.from_arrays([pa.array([v], lists.get(k, pa.binary())) for k, v in values.items()], names=list(values))
+            ids, totals = rows["doc_id"].to_pylist(), rows["doc_tokens"].to_pylist()
+            held = np.array([len(x) // width for x in terms])
+            block = _Block(corpus, np.frombuffer(b"".join(terms), f"<u{width}"), np.frombuffer(b"".join(counts), "<u4"), held)
+            keys = [None if i is None else (i, n, t) for i, n, t in zip(ids, totals, tails, strict=True)]
+            tails = [np.frombuffer(t, f"<u{width}") for t in tails]
+            sizes, out, first = np.array([len(t) for t in tails]), [], count
+            for doc, a, b, number, offset in _packed(block, sizes, keys, window):
+                done = totals[doc] - len(tails[doc])
+                out.append((ids[doc], done + a, b - a, _crc(tails[doc][a:b]), totals[doc], (part << 33 | first + number) * 2 + 1, offset))
+                count = max(count, first + number + 1)
+            return _pieces(out)
 
         held, size = [], 0
         for batch in batches:
             held.append(batch)
             size += batch.num_rows
-            while size >= most:
+            while size > most + most // 4:  # a shard ends where the key changes, if that is near
                 rows = pa.Table.from_batches(held)
-                yield one(rows.slice(0, most))
-                held, size = rows.slice(most).to_batches(), size - most
+                key = rows.slice(0, most + 1).select(_KEYS).to_pandas().to_numpy()
+                new = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+                cut = int(new[-1]) if len(new) and new[-1] > most * 3 // 4 else most
+                yield one(rows.slice(0, cut))
+                held, size = rows.slice(cut).to_batches(), size - cut
         if size:
             yield one(pa.Table.from_batches(held))
 
-    return block
-
-
-def _searcher(corpus: _Corpus, numbers: dict[int, int], width: int, block: int, most: int):
-    """For pairs of a block of queries and a block to search in, each query's best documents."""
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, query, name = {}, None, None
-
-        def read(row: dict, side: str) -> _Block:
-            kinds = (("terms", f"<u{width}"), ("counts", "<u4"), ("held", "<i8"))
-            return _Block(corpus, *(np.frombuffer(row[side + k], t) for k, t in kinds))
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if row["q_block"] != name:
-                    name, of = row["q_block"], read(row, "q_")
-                    query = of.query()
-                    best.setdefault(name, _empty(of.n, most))
-                score = _scores(query, read(row, "d_").index())
-                if name == row["d_block"]:
-                    np.fill_diagonal(score, 0)
-                _add(best[name], score, numbers[row["d_block"]] * block, most)
-        for name, (score, ids) in best.items():
-            yield pa.RecordBatch.from_pydict({"block": [name], "scores": [score.astype("<f8").tobytes()], "ids": [ids.astype("<u4").tobytes()]})
-
-    return search
-
-
-def _merger(most: int):
-    """The best of the lists of a block of queries, which follow each other."""
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, best = None, None
-
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"block": [name], "ids": [best[1].astype("<u4").tobytes()]})
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                new = np.frombuffer(row["scores"], "<f8").reshape(-1, most), np.frombuffer(row["ids"], "<u4").reshape(-1, most).astype(np.int64)
-                if row["block"] != name:
-                    if name is not None:
-                        yield done()
-                    name, best = row["block"], new
-                else:
-                    best = _best(*(np.concatenate(x, 1) for x in zip(best, new, strict=True)), most)
-        if name is not None:
-            yield done()
-
-    return merge
-
-
-def _walker(numbers: dict[int, int], window: int, block: int, most: int):
-    """The starts of all documents; only lengths and lists come here, no texts."""
-
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sizes, lists, names = [], [], []
-        for batch in batches:
-            names += batch.column("block").to_pylist()
-            sizes += [np.frombuffer(x.as_buffer(), "<i8") for x in batch.column("sizes")]
-            lists += [np.frombuffer(x.as_py(), "<u4").reshape(-1, most) for x in batch.column("ids")]
-        if not names:
-            return
-        first = np.cumsum([0, *map(len, sizes)])
-        dense = first[[numbers[x] for x in names]]  # blocks come in order of their numbers
-        for x in range(len(lists)):
-            ids = lists[x].astype(np.int64)
-            known = ids != NONE
-            ids[known] = dense[ids[known] // block] + ids[known] % block
-            lists[x] = ids.astype("<u4")
-        total = sum(int(s.sum()) for s in sizes)
-        start = walk(np.concatenate(sizes), np.concatenate(lists), window)
-        for name, a, b in zip(names, first[:-1], first[1:], strict=True):
-            yield pa.RecordBatch.from_pydict({"block": [name], "starts": [start[a:b].astype("<i8").tobytes()], "total": [total]})
-
-    return go
-
-
-def _piecer(window: int, width: int):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row, out, first = batch.slice(i, 1).to_pylist()[0], [], 0
-                tails, last = np.frombuffer(row["tails"], f"<u{width}"), _bounds(row["total"], window)
-                docs = zip(row["doc_ids"], row["totals"], *(np.frombuffer(row[c], "<i8").tolist() for c in ("sizes", "starts")), strict=True)
-                for doc_id, total, size, start in docs:
-                    tail = tails[first : first + size]
-                    first += size
-                    for a, b, number, offset in _cut(start, size, row["total"], window, last):
-                        out.append((doc_id, total - size + a, b - a, _crc(tail[a:b]), total, number * 2 + 1, offset))
-                yield _pieces(out)
-
-    return cut
+    return pack
 
 
 def _windows(window: int):
@@ -389,15 +347,20 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = 2048) -> DataFr
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Documents of more than ``window`` ids fill windows of their own; what is left of them
-    and shorter ones are packed behind each other by BM25. Each document is a query of all
-    its ids, searched exactly in all other documents, with the statistics of the whole
-    corpus: the cost grows with the square of the documents. One task walks over the
-    lists of neighbours. Every sequence has ``window`` ids or a power of two below it, so
-    nothing is padded. A null text is empty and holds the end id alone; rows that
-    repeat a doc_id, or have none, are packed like any other.
+    and shorter ones are packed behind each other by BM25 over the ids of whole documents,
+    with the statistics of the whole corpus. The index is dealt into shards of about
+    ``SHARD`` documents that share their rarest terms, so copies and near copies meet; ranges
+    of these terms, then of doc_id, split a frequent key. In its shard every seed is scored exactly against all documents
+    and followed by the best that are still unused, so the cost grows with the documents.
+    Neighbours in other shards are not looked at.
+
+    Every sequence has ``window`` ids or a power of two below it, so nothing is padded. A
+    null text is empty and holds the end id alone. Rows that repeat a doc_id, or have none,
+    are packed like any other; rows that repeat doc_id and text come into different windows
+    as long as their shard has other documents left.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    known = encoder(path)
+    known = column_encoder(path)
     width = known.dtype.itemsize
     tokens = map_arrow(
         rows, _tokenizer(path, end, window), "doc_id long, doc_tokens long, crcs array<long>, tail binary, terms binary, counts binary", encodes=True
@@ -405,7 +368,7 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = 2048) -> DataFr
     tokens = written(tokens, "token-tails")
     long = map_arrow(tokens.filter("size(crcs) > 0").select("doc_id", "doc_tokens", "crcs"), _windows(window), _SCHEMA)
 
-    size = max(known.tokenizer.get_vocab_size(), end + 1)
+    size = max(known.texts.tokenizer.get_vocab_size(), end + 1)
     counted = map_arrow(tokens.select("doc_tokens", "terms"), _frequencies(size, width), "term long, df long")
     df, other = np.zeros(size, np.int64), {-1: 0, -2: 0}
     for row in counted.groupBy("term").agg(F.sum("df").alias("df")).collect():  # at most a row per term
@@ -416,18 +379,8 @@ def pack(docs: DataFrame, path: str, end: int = 1, window: int = 2048) -> DataFr
     corpus = _Corpus(other[-2], other[-1], df)
 
     tails = tokens.filter("octet_length(tail) > 0").select("doc_id", "doc_tokens", "tail", "terms", "counts")
-    dealt = tails.repartitionByRange("doc_id", "tail").sortWithinPartitions("doc_id", "doc_tokens", "tail")
-    blocks = written(map_arrow(dealt, _blocker(width, BLOCK), _BLOCK), "blocks")
-    numbers = {x: i for i, x in enumerate(sorted(r.block for r in blocks.select("block").collect()))}
-    if not numbers:
-        return long
-    n = len(numbers)
-    queries, searched = (blocks.select(*(F.col(c).alias(side + c) for c in ("block", "held", "terms", "counts"))) for side in ("q_", "d_"))
-    pairs = queries.repartition(n).crossJoin(searched.repartition(math.ceil(n / SEARCHED)))
-    found = map_arrow(pairs, _searcher(corpus, numbers, width, BLOCK, NEIGHBOURS), "block long, scores binary, ids binary")
-    found = written(found, "found").repartition("block").sortWithinPartitions("block")
-    lists = written(map_arrow(found, _merger(NEIGHBOURS), "block long, ids binary"), "neighbours")
-    ordered = lists.join(blocks.select("block", "sizes"), "block").repartition(1).sortWithinPartitions("block")
-    starts = written(map_arrow(ordered, _walker(numbers, window, BLOCK, NEIGHBOURS), "block long, starts binary, total long"), "starts")
-    placed = blocks.select("block", "doc_ids", "totals", "sizes", "tails").join(starts, "block")
-    return long.union(map_arrow(placed, _piecer(window, width), _SCHEMA))
+    schema = "doc_id long, doc_tokens long, tail binary, terms binary, counts binary, first long, second long, third long, crc long"
+    dealt = map_arrow(tails, _dealer(df, width), schema)
+    parts = max(1, math.ceil(other[-2] / (SHARD * IN_TURN)))
+    dealt = dealt.repartitionByRange(parts, *_KEYS, "doc_id").sortWithinPartitions(*_KEYS, "doc_id", "doc_tokens", "tail")
+    return long.union(map_arrow(dealt, _packer(corpus, width, window, SHARD), _SCHEMA))
