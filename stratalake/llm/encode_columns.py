@@ -17,6 +17,7 @@ _BLANK = r"[\t-\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}
 _LETTERS = byte_class((65, 90), (97, 122), (0xC3, 0xC3), (0x80, 0x96), (0x98, 0xB6), (0xB8, 0xBF))
 #: ASCII marks; behind a word a run of them is a piece of its own. An apostrophe may belong to what follows.
 _MARKS = byte_class((33, 38), (40, 47), (58, 64), (91, 96), (123, 126))
+_KINDS = _LETTERS + 2 * _MARKS.astype(np.uint8)
 _NOT_BLANK = byte_class((0, 8), (14, 31), (33, 255))
 _NOT_SPACE = byte_class((0, 9), (11, 31), (33, 255))
 #: Words encoded by one call, and words whose ids a worker remembers from one shard to the next.
@@ -39,6 +40,10 @@ def _different(words: Words, kind: np.ndarray | None = None) -> tuple[Words, np.
     return words, every, every
 
 
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class ColumnEncoder:
     """Gives the same ids as ``PieceEncoder.encode`` text by text.
 
@@ -78,14 +83,14 @@ class ColumnEncoder:
         known, flat, sizes = self.known.get(lead) or ({}, np.empty(0, self.dtype), np.empty(0, np.int64))
         if len(known) > REMEMBERED:
             known, flat, sizes = {}, flat[:0], sizes[:0]
-        if new := [w for w in dict.fromkeys(words) if w not in known]:
+        if new := list(dict.fromkeys([w for w in words if w not in known])):
             ids, many = self._encoded(new, lead)
             if len(many) != len(new):
                 raise RuntimeError("the vocabulary does not mark the edges of words")
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             flat, sizes = np.concatenate([flat, ids]), np.concatenate([sizes, many])
         self.known[lead] = known, flat, sizes
-        at = np.array([known[w] for w in words], dtype=np.int64)
+        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         return flat[gathered((np.cumsum(sizes) - sizes)[at], sizes[at])], sizes[at]
 
     def _encoded(self, words: list[str], lead: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -113,18 +118,22 @@ class ColumnEncoder:
 
     def _distinct(self, words: Words, which: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the distinct words ``which``, with what stands ``before`` them, and how many each has."""
-        inside, outside = (np.concatenate([[0], np.cumsum(c[words.data], dtype=np.int32)]) for c in (_LETTERS, _MARKS))
         start, length = words.starts[which], words.lengths[which]
-        held = inside[start + length] - inside[start]
-        marks = outside[start + length] - outside[start]
-        plain = (held > 0) & (held + marks == length) & (inside[start + held] - inside[start] == held)
+        # letters and marks of each word, and whether no letter follows a mark
+        kind = _KINDS[words.data[gathered(start, length)]]
+        first = np.cumsum(length) - length
+        held, marks = (np.add.reduceat(kind == k, first, dtype=np.int32) if len(first) else first for k in (1, 2))
+        mixed = np.flatnonzero((kind[:-1] == 2) & (kind[1:] == 1)) + 1
+        of = np.searchsorted(first, mixed, side="right") - 1
+        plain = (held > 0) & (held + marks == length)
+        plain[of[mixed != first[of]]] = False
         simple, marked = np.flatnonzero(plain), np.flatnonzero(plain & (marks > 0))
         lead = (before[simple] == _SPACE) & self.texts.keeps_blanks
         bare, chosen, number = _different(words.narrowed(start[simple], held[simple]), lead)
         flat, sizes, at = [], [], np.zeros(len(chosen), np.int64)
         for side in (False, True):
             own = np.flatnonzero(lead[chosen] == side)
-            ids, many = self._letters(bare.texts(chosen[own]).to_pylist(), side)
+            ids, many = self._letters(_strings(bare.texts(chosen[own])), side)
             at[own] = np.arange(len(own)) + sum(map(len, sizes))
             flat.append(ids)
             sizes.append(many)
@@ -138,16 +147,16 @@ class ColumnEncoder:
         body = np.full(len(which), known)
         body[simple] = at[number]
         same = self.texts.rest if self.texts.keeps_blanks else self.texts.words
-        first = self.texts.heads if self.texts.keeps_blanks else self.texts.words
+        head = self.texts.heads if self.texts.keeps_blanks else self.texts.words
         rest = np.flatnonzero(~plain)
-        pieces = words.texts(which[rest]).to_pylist()
-        body[rest] = add([(same if b == _SPACE else first)[x] for b, x in zip(before[rest].tolist(), pieces, strict=True)])
+        pieces = _strings(words.texts(which[rest]))
+        body[rest] = add([(same if b == _SPACE else head)[x] for b, x in zip(before[rest].tolist(), pieces, strict=True)])
         behind = np.full(len(which), known)
         runs, chosen, number = _different(words.narrowed(start[marked] + held[marked], marks[marked]))
-        behind[marked] = add([first[x] for x in runs.texts(chosen).to_pylist()])[number]
+        behind[marked] = add([head[x] for x in runs.texts(chosen).to_pylist()])[number]
         ahead = np.full(len(which), known)
         if self.texts.keeps_blanks:
-            ahead[before == _LINE] = add([first["\n"]])[0]
+            ahead[before == _LINE] = add([head["\n"]])[0]
         flat = np.concatenate([*flat, np.frombuffer(b"".join(single), self.dtype)])
         sizes = np.concatenate([*sizes, [len(x) // self.dtype.itemsize for x in single]]).astype(np.int64)
         starts, parts = np.cumsum(sizes) - sizes, np.stack([ahead, body, behind], axis=1)

@@ -200,6 +200,13 @@ def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def binaries(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """One binary value per count, cut out of ``values``."""
+    offsets = np.zeros(len(counts) + 1, dtype=np.int32)
+    np.cumsum(counts * values.itemsize, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A reversible mix of 64-bit numbers."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
