@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, written
 from .encode_columns import SHARD_BYTES, column_encoder
-from .words import shards
+from .words import binaries, gathered, shards
 
 #: Documents of a shard of the index, and shards that a task packs one after the other.
 SHARD, IN_TURN = 2048, 4
@@ -45,26 +45,34 @@ def _tokenizer(path: str, end: int, window: int):
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = column_encoder(path)
-        closing = np.array([end], known.dtype)
         for texts in shards(batches, "text", SHARD_BYTES):
-            whole, offsets = known.encode(texts["text"])
-            cuts = offsets.tolist()
-            for at in range(0, texts.num_rows, 1024):
-                tails, totals, crcs, terms, counts = [], [], [], [], []
-                for a, b in zip(cuts[at : at + 1024], cuts[at + 1 : at + 1025], strict=False):
-                    ids = np.concatenate([whole[a:b], closing])
-                    full = len(ids) // window * window
-                    crcs.append([_crc(ids[a : a + window]) for a in range(0, full, window)])
-                    tails.append(ids[full:].tobytes())
-                    totals.append(len(ids))
-                    ordered = np.sort(ids)
-                    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                    terms.append(ordered[first].tobytes())
-                    counts.append(np.diff(first, append=len(ids)).astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [texts["doc_id"].slice(at, 1024).combine_chunks(), pa.array(totals, pa.int64()), pa.array(crcs, pa.list_(pa.int64())), *(pa.array(c, pa.binary()) for c in (tails, terms, counts))],
-                    names=["doc_id", "doc_tokens", "crcs", "tail", "terms", "counts"],
-                )
+            body, offsets = known.encode(texts["text"])
+            stops = offsets + np.arange(len(offsets))  # each text has the end id behind its own
+            lengths = np.diff(stops)
+            own = np.ones(stops[-1], dtype=bool)
+            own[stops[1:] - 1] = False
+            ids = np.full(stops[-1], end, known.dtype)
+            ids[own] = body
+            full = lengths // window * window
+            tails = ids[gathered(stops[:-1] + full, lengths - full)]
+            # terms of a document in order, each with its count
+            held = np.sort(np.repeat(np.arange(len(lengths), dtype=np.uint64) << np.uint64(32), lengths) | ids)
+            first = np.flatnonzero(np.diff(held, prepend=~held[:1]))
+            terms = (held[first] & np.uint64((1 << 32) - 1)).astype(known.dtype)
+            counts = np.diff(first, append=len(held)).astype("<u4")
+            many = np.bincount((held[first] >> np.uint64(32)).astype(np.int64), minlength=len(lengths))
+            crcs = [[_crc(ids[a : a + window]) for a in range(s, s + f, window)] if f else [] for s, f in zip(stops[:-1].tolist(), full.tolist(), strict=True)]
+            out = pa.table(
+                {
+                    "doc_id": texts["doc_id"],
+                    "doc_tokens": lengths,
+                    "crcs": pa.array(crcs, pa.list_(pa.int64())),
+                    "tail": binaries(tails, lengths - full),
+                    "terms": binaries(terms, many),
+                    "counts": binaries(counts, many),
+                }
+            )
+            yield from out.to_batches(max_chunksize=1024)
 
     return tokenize
 
@@ -141,18 +149,21 @@ def _scores(query: tuple, index: tuple) -> np.ndarray:
         place = np.repeat(first[own] - np.cumsum(many) + many, many) + np.arange(many.sum())
         row = np.repeat(query[1][own], many)
         low, high = row[0] * n, (row[-1] + 1) * n  # queries are in order
-        flat[low:high] += np.bincount(row * n + index[1][place] - low, np.repeat(query[3][own], many) * index[3][place], high - low)
-    return np.round(score, 6)  # sums of equal documents are equal
+        flat[low:high] += np.bincount(row * n + index[1][place] - low, np.repeat(query[3][own], many) * index[3][place], high - low).astype(score.dtype)
+    return np.round(score, 6) if score.dtype == np.float64 else score  # sums of equal documents are equal
 
 
 def _all_scores(block: _Block) -> np.ndarray:
-    """Scores of all documents of a shard for each other."""
-    score = np.zeros((block.n, block.n))
+    """Scores of all documents of a shard for each other, in single precision to three places."""
+    score = np.zeros((block.n, block.n), dtype=np.float32)
     for b in range(0, block.n, BLOCK * SEARCHED):
-        index = block.part(b, b + BLOCK * SEARCHED).index()
+        matrix, *rest = block.part(b, b + BLOCK * SEARCHED).index()
+        index = matrix.astype(np.float32), *rest
         for a in range(0, block.n, BLOCK):
-            score[a : a + BLOCK, b : b + BLOCK * SEARCHED] = _scores(block.part(a, a + BLOCK).query(), index)
+            matrix, *rest = block.part(a, a + BLOCK).query()
+            score[a : a + BLOCK, b : b + BLOCK * SEARCHED] = _scores((matrix.astype(np.float32), *rest), index)
     np.fill_diagonal(score, 0)
+    np.round(score, 3, out=score)
     return score
 
 
@@ -301,7 +312,7 @@ def _packer(corpus: _Corpus, width: int, window: int, most: int):
             ids, totals = rows["doc_id"].to_pylist(), rows["doc_tokens"].to_pylist()
             held = np.array([len(x) // width for x in terms])
             block = _Block(corpus, np.frombuffer(b"".join(terms), f"<u{width}"), np.frombuffer(b"".join(counts), "<u4"), held)
-            keys = [None if i is None else (i, n, t) for i, n, t in zip(ids, totals, tails, strict=True)]
+            keys = list(zip(ids, totals, tails, strict=True))
             tails = [np.frombuffer(t, f"<u{width}") for t in tails]
             sizes, out, first = np.array([len(t) for t in tails]), [], count
             for doc, a, b, number, offset in _packed(block, sizes, keys, window):
