@@ -130,7 +130,8 @@ def sign_dedup(
     linked to each other without comparing. Buckets of more than BLOCK classes are
     dealt to pairs of blocks. Null, empty or zero vectors and ones with null or
     non-finite components link with nothing, as do vectors of other lengths. A row
-    without an id has no links and a null component. Repeated ids are separate rows.
+    without an id has no links and a null component. Repeated ids are separate rows: one
+    with another vector has links and a component of its own.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
@@ -139,8 +140,10 @@ def sign_dedup(
         " and exists(vec, x -> x != 0)"
     )
     rows = rows.withColumn("fit", F.coalesce(fit, F.lit(False)))
-    classes = rows.filter("fit").groupBy("vec").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = written(classes.withColumn("dim", F.size("vec")), "vectors")
+    classes = rows.filter("fit").groupBy("vec").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    # a class has a number of its own, as several classes may hold one id
+    classes = classes.withColumns({"dim": F.size("vec"), "rep": F.monotonically_increasing_id()})
+    classes = written(classes, "vectors")
     bits, tables = plan_tables(classes.count(), threshold, recall)
     kind = classes.schema["vec"].dataType.elementType.simpleString()
     hashed = map_arrow(
@@ -151,15 +154,14 @@ def sign_dedup(
     dealt = dealt.repartition(*keys).sortWithinPartitions(*keys)
     found = written(map_arrow(dealt, _verifier(bits, tables, seed, threshold), "a long, b long, n long"), "links")
     degree = found.filter("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
-    groups = components(found.filter("b is not null").select("a", "b"))
-    reps = (
-        classes.join(degree, "rep", "left")
-        .join(groups.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("vec", "rep", "copies", "others", "component")
-    )
-    reps = written(reps, "classes")
+    groups = components(found.filter("b is not null").select("a", "b")).withColumnsRenamed({"id": "rep", "component": "root"})
+    groups = written(groups.join(classes.select("rep", "least"), "rep"), "groups")
+    named = groups.groupBy("root").agg(F.min("least").alias("component"))
+    groups = groups.join(named, "root").select("rep", "component")
+    reps = classes.join(degree, "rep", "left").join(groups, "rep", "left")
+    reps = written(reps.select("vec", "copies", "others", F.coalesce("component", "least").alias("component")), "classes")
     joined = rows.join(reps.withColumn("fit", F.lit(True)), ["vec", "fit"], "left")
-    component = F.coalesce("component", "rep", "id")
+    component = F.coalesce("component", "id")
     return joined.select(
         F.col("id").alias("vec_id"),
         (F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"),
