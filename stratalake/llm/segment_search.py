@@ -38,8 +38,8 @@ def _exact(q: np.ndarray, x: np.ndarray, pairs: tuple[np.ndarray, np.ndarray]) -
     )
 
 
-def search_block(q_ids, q, x_ids, x, k: int, levels=LEVELS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(query, vector, score)`` with every query's k best of ``x``, ties to smaller ids."""
+def search_block(q_ids, q, x_ids, x, k: int, levels=LEVELS, rows: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(query, vector, score)`` with every query's k best of ``x``, ties to smaller ids; queries by row if ``rows``."""
     largest = max(np.abs(q).max(initial=0), np.abs(x).max(initial=0))
     if largest**2 * q.shape[1] >= 2.0**53:  # doubles would round: integers from here on
         q, x, levels = q.astype(np.int64), x.astype(np.int64), ()
@@ -49,7 +49,7 @@ def search_block(q_ids, q, x_ids, x, k: int, levels=LEVELS) -> tuple[np.ndarray,
     for a in range(0, len(q), TOGETHER):
         now = slice(a, a + TOGETHER)
         own = q_ids[now][:, None] == x_ids[None, :]
-        rows = len(own)
+        many = len(own)
         if levels:
             slack = 1e-9 * (1 + length_q[now][:, None] * length_x[None, :])
             bound = np.where(own, -np.inf, stats[0][0][now] @ stats[0][1].T + slack)
@@ -57,7 +57,7 @@ def search_block(q_ids, q, x_ids, x, k: int, levels=LEVELS) -> tuple[np.ndarray,
             best = np.argpartition(-bound, seeds - 1, axis=1)[:, :seeds]
             tried = np.einsum("ij,ikj->ik", q[now], x[best])
             tried[np.take_along_axis(own, best, axis=1)] = -np.inf
-            kth = np.partition(tried, seeds - k, axis=1)[:, seeds - k] if seeds >= k else np.full(rows, -np.inf)
+            kth = np.partition(tried, seeds - k, axis=1)[:, seeds - k] if seeds >= k else np.full(many, -np.inf)
             alive = (bound >= kth[:, None]) & ~own
             for fine_q, fine_x in stats[1:]:
                 if alive.mean() > 0.2:
@@ -79,7 +79,7 @@ def search_block(q_ids, q, x_ids, x, k: int, levels=LEVELS) -> tuple[np.ndarray,
         i, j, score = i[order], j[order], score[order]
         rank = np.arange(len(i)) - np.searchsorted(i, i)
         i, j, score = i[rank < k], j[rank < k], score[rank < k]
-        found.append((q_ids[now][i], x_ids[j], score.astype(np.int64)))
+        found.append((i + a if rows else q_ids[now][i], x_ids[j], score.astype(np.int64)))
     return tuple(np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
 
 
@@ -96,8 +96,9 @@ def _searcher(k: int, scale: float):
                 ids, query = np.asarray(part["id"]), np.asarray(part["query"])
                 if query.all() or not query.any():
                     continue
-                a, b, s = search_block(ids[query], ints[query], ids[~query], ints[~query], k)
-                yield pa.RecordBatch.from_pydict({"query_id": a, "vec_id": b, "score": s})
+                a, b, s = search_block(ids[query], ints[query], ids[~query], ints[~query], k, rows=True)
+                found = {"query_id": ids[query][a], "query_hash": np.asarray(part["h"])[query][a], "vec_id": b, "score": s}
+                yield pa.RecordBatch.from_pydict(found)
 
     return search
 
@@ -110,7 +111,8 @@ def segment_search(
     Queries are the rows whose id is divisible by ``every``; candidates are all other
     rows of the same length. Ties go to the smaller vec_id. Vectors that are null, empty
     or hold null or non-finite components, and rows without an id, take no part. A
-    repeated id is a query once for each different vector, and never its own candidate.
+    repeated id is a query once for each different vector (told apart by a 64-bit hash),
+    with a list of its own for each, and never its own candidate; its rows are separate candidates.
     Scores must stay below 2**63. Queries meet candidates in pairs of blocks of a fixed
     size; each pair gives at most k rows a query.
     """
@@ -119,15 +121,15 @@ def segment_search(
     )
     rows = rows.select("id", "vec", F.size("vec").alias("dim"), F.xxhash64("id", "vec").alias("h"))
     x_blocks = max(1, -(-rows.count() // CANDIDATES))
-    chosen = rows.filter(F.pmod("id", F.lit(every)) == 0)
+    chosen = rows.filter(F.pmod("id", F.lit(every)) == 0).dropDuplicates(["id", "h"])
     q_blocks = max(1, -(-chosen.count() // QUERIES))
     q = chosen.withColumn("q_block", F.pmod("h", F.lit(q_blocks)).cast("int"))
     q = q.withColumn("x_block", F.explode(F.sequence(F.lit(0), F.lit(x_blocks - 1)))).withColumn("query", F.lit(True))
     x = rows.withColumn("x_block", F.pmod("h", F.lit(x_blocks)).cast("int"))
     x = x.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).withColumn("query", F.lit(False))
-    columns, keys = ["dim", "q_block", "x_block", "id", "vec", "query"], ["dim", "q_block", "x_block"]
+    columns, keys = ["dim", "q_block", "x_block", "id", "h", "vec", "query"], ["dim", "q_block", "x_block"]
     dealt = q.select(columns).union(x.select(columns)).repartition(*keys).sortWithinPartitions(*keys)
-    found = map_arrow(dealt, _searcher(k, scale), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = map_arrow(dealt, _searcher(k, scale), "query_id long, query_hash long, vec_id long, score long")
+    order = Window.partitionBy("query_id", "query_hash").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
