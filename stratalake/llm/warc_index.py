@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -22,6 +23,8 @@ from .common import map_arrow, written
 
 #: Bytes after which an archive file is closed (one record may exceed it), captures sorted as one run.
 FILE_BYTES, RUN_CAPTURES = 16 << 20, 50_000
+#: Captures of a range of keys that one task merges.
+RANGE_CAPTURES = 200_000
 #: Smaller payloads are stored again rather than referred to.
 LEAST_REVISIT = 100
 _RUNS = (
@@ -162,12 +165,14 @@ def write_archives(pages: DataFrame, folder: str, captured: Column | None = None
     """Write ``pages(page_id, url, html)`` as WARC files below ``folder``; the locally sorted runs of their index.
 
     Of equal payloads of at least LEAST_REVISIT bytes the one with the smallest page_id
-    is stored, others refer to it. ``captured`` gives seconds since 1970, by default
-    1,700,000,000 plus the page_id. Null html is empty; a row without a page_id is
+    is stored, others refer to it. ``captured`` gives seconds since 1970 (of the years 1 to
+    9999; others are taken as 1970), by default 1,700,000,000 plus the page_id modulo 10**9. Null html is empty; a row without a page_id is
     written, and refers to the stored one like any other. Rows that repeat a page_id and
     its payload are all stored.
     """
-    at = F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0)) if captured is None else captured
+    page = F.coalesce(F.col("page_id").cast("long"), F.lit(0))
+    at = F.lit(1_700_000_000) + F.pmod(page, F.lit(10**9)) if captured is None else captured
+    at = F.when(at.cast("long").between(-62_135_596_800, 253_402_300_799), at).otherwise(0)
     rows = pages.select(
         F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"), at.cast("long").alias("at")
     ).withColumn("digest", F.sha2(F.encode("html", "utf-8"), 256))
@@ -184,11 +189,13 @@ def write_archives(pages: DataFrame, folder: str, captured: Column | None = None
 def merge_runs(runs: DataFrame) -> DataFrame:
     """The capture history: rows of all runs with ``part`` and ``rank``, ordered by url_key, time, page.
 
-    Keys are dealt in ranges of (url_key, captured, page_id, file, record), which split
-    even one url's captures; a task merges the pieces of all runs that fall in its range.
+    Keys are dealt in ranges of about ``RANGE_CAPTURES`` rows by (url_key, captured, page_id,
+    file, record), which split even one url's captures; a task merges the pieces of all runs
+    that fall in its range, and holds no more than those.
     """
     order = ["url_key", "captured", "page_id", "file", "record"]
-    ranged = runs.repartitionByRange(*order).sortWithinPartitions("run", "pos")
+    ranges = max(1, math.ceil(runs.count() / RANGE_CAPTURES))
+    ranged = runs.repartitionByRange(ranges, *order).sortWithinPartitions("run", "pos")
     return written(
         map_arrow(
             ranged,
