@@ -9,6 +9,7 @@ the step length 1 is right for any corpus, and steps are large where domains are
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -18,9 +19,13 @@ from .common import written
 
 #: Rounds end at this relative error, when one gains under a hundredth, or at their limit.
 TOLERANCE, ROUNDS = 1e-4, 40
+#: Relative error of the totals that is worth a warning.
+MISSED = 0.01
 #: Word buckets of the classifier, labelled documents it is fitted on (in expectation), words of evidence at most.
 BUCKETS, LABELLED, EVIDENCE = 8192, 20_000, 8
 
+logger = logging.getLogger(__name__)
+
 
 def _inverse(g: list[list[float]]) -> list[list[float]]:
     """Inverse of a small positive matrix with a little ridge, by Gauss-Jordan elimination."""
@@ -100,7 +105,10 @@ def _dot(p: Column, y: list[float]) -> Column:
 
 
 def fit_rates(members: DataFrame, targets: list[float], floor: float = 0.0) -> tuple[Column, list[float]]:
-    """The rate of a document as a column over ``members(n, p)``, and the domain totals it gives."""
+    """The rate of a document as a column over ``members(n, p)``, and the domain totals it gives: the best of all rounds.
+
+    Targets that no rates above the floor meet are missed with a warning.
+    """
     k = len(targets)
     get = [F.get("p", F.lit(i)) for i in range(k)]
     upper = [(i, j) for i in range(k) for j in range(i, k)]
@@ -109,18 +117,22 @@ def fit_rates(members: DataFrame, targets: list[float], floor: float = 0.0) -> t
     for (i, j), value in zip(upper, row, strict=True):
         g[i][j] = g[j][i] = float(value or 0.0)
     inverse = _inverse(g)
-    rate, best = F.lit(1.0), None
+    rate, best, found, reached = F.lit(1.0), None, F.lit(1.0), [0.0] * k
     for _ in range(ROUNDS):
         row = members.agg(*(F.sum(F.col("n") * x * rate) for x in get)).first()
         now = [float(v or 0.0) for v in row]
         gap = [t - v for t, v in zip(targets, now, strict=True)]
         error = math.sqrt(sum(x * x for x in gap)) / max(math.sqrt(sum(t * t for t in targets)), 1e-300)
-        if error <= TOLERANCE or best is not None and error >= best * 0.99:
+        gains = best is None or error < best * 0.99
+        if best is None or error < best:
+            best, found, reached = error, rate, now
+        if error <= TOLERANCE or not gains:
             break
-        best = error
         step = [round(sum(w * x for w, x in zip(row_, gap, strict=True)), 12) for row_ in inverse]
         rate = F.greatest(F.lit(float(floor)), rate + _dot(F.col("p"), step))
-    return rate, now
+    if best > MISSED:
+        logger.warning("domain totals %s miss the targets %s", [round(v) for v in reached], [round(v) for v in targets])
+    return found, reached
 
 
 def mix_domains(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], tokens: float | None = None, floor: float = 0.0,
