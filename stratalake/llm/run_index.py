@@ -283,17 +283,23 @@ def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs = zip(batch.column("text"), batch.column("__spans"), strict=True)
         texts = [_cut(t.as_buffer().to_pybytes(), s.values)[0].decode("utf-8", "ignore") for t, s in pairs]
-        names = [n for n in batch.schema.names if not n.startswith("__")]
+        names = [n for n in batch.schema.names if n != "__spans"]
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in names], names=names)
 
 
 def cut_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
-    """``docs`` with repeated bytes removed from ``text``; characters cut through go whole. Other columns stay."""
+    """``docs`` with repeated bytes removed from ``text``; characters cut through go whole. Other columns stay.
+
+    ``__tid`` and ``__spans`` are used inside: columns of these names are refused.
+    """
+    if clash := {"__tid", "__spans"} & set(docs.columns):
+        raise ValueError(f"columns with names used inside: {', '.join(sorted(clash))}")
     spans = repeated_spans(docs, length)
+    columns = [f"`{c}`" for c in docs.columns]
     rows = keyed(docs)
     hit = _with_spans(rows.filter("text is not null"), spans, "doc_id")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    cut = map_arrow(hit.select(*docs.columns, "__spans"), _cutter, schema)
+    cut = map_arrow(hit.select(*columns, "__spans"), _cutter, schema)
     keys = spans.select("doc_id", F.col("tid").alias("__tid"))
-    rest = with_keys(rows, keys, ["doc_id", "__tid"], "left_anti").select(*docs.columns)
+    rest = with_keys(rows, keys, ["doc_id", "__tid"], "left_anti").select(*columns)
     return cut.union(rest)
