@@ -28,18 +28,6 @@ SHARD_BYTES = 8 << 20
 _FIRST, _SPACE, _LINE = 0, 1, 2
 
 
-def _different(words: Words, kind: np.ndarray | None = None) -> tuple[Words, np.ndarray, np.ndarray]:
-    """``(words, chosen, number)``: one word of each (bytes, kind) and for every word which of the chosen it equals."""
-    keys = words.hashes()
-    if kind is not None:
-        keys = keys + kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    _, chosen, number = np.unique(keys, return_index=True, return_inverse=True)
-    if words.equal(chosen[number]) and (kind is None or np.array_equal(kind[chosen][number], kind)):
-        return words, chosen, number
-    every = np.arange(len(words.starts))  # two words share a hash: each for itself
-    return words, every, every
-
-
 def _strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
@@ -52,11 +40,11 @@ class ColumnEncoder:
     span white space, take the per-text encoder.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.texts: PieceEncoder = encoder(path)
-        self.dtype = self.texts.dtype
+        self.dtype, self.remembered = self.texts.dtype, remembered
         self.known: dict[bool, tuple[dict[str, int], np.ndarray, np.ndarray]] = {}
         if self.texts.keeps_blanks or self.texts.drops_blanks:
             self.lines = Tokenizer(self.texts.model)
@@ -81,7 +69,7 @@ class ColumnEncoder:
         if self.texts.drops_blanks:
             words = [w if w.isascii() else w.lower() for w in words]
         known, flat, sizes = self.known.get(lead) or ({}, np.empty(0, self.dtype), np.empty(0, np.int64))
-        if len(known) > REMEMBERED:
+        if len(known) > self.remembered:
             known, flat, sizes = {}, flat[:0], sizes[:0]
         if new := list(dict.fromkeys([w for w in words if w not in known])):
             ids, many = self._encoded(new, lead)
@@ -129,7 +117,8 @@ class ColumnEncoder:
         plain[of[mixed != first[of]]] = False
         simple, marked = np.flatnonzero(plain), np.flatnonzero(plain & (marks > 0))
         lead = (before[simple] == _SPACE) & self.texts.keeps_blanks
-        bare, chosen, number = _different(words.narrowed(start[simple], held[simple]), lead)
+        bare = words.narrowed(start[simple], held[simple])
+        chosen, number = bare.different(lead)
         flat, sizes, at = [], [], np.zeros(len(chosen), np.int64)
         for side in (False, True):
             own = np.flatnonzero(lead[chosen] == side)
@@ -152,7 +141,8 @@ class ColumnEncoder:
         pieces = _strings(words.texts(which[rest]))
         body[rest] = add([(same if b == _SPACE else head)[x] for b, x in zip(before[rest].tolist(), pieces, strict=True)])
         behind = np.full(len(which), known)
-        runs, chosen, number = _different(words.narrowed(start[marked] + held[marked], marks[marked]))
+        runs = words.narrowed(start[marked] + held[marked], marks[marked])
+        chosen, number = runs.different()
         behind[marked] = add([head[x] for x in runs.texts(chosen).to_pylist()])[number]
         ahead = np.full(len(which), known)
         if self.texts.keeps_blanks:
@@ -177,7 +167,7 @@ class ColumnEncoder:
             before = np.where(last == 32, _SPACE, _LINE).astype(np.uint8)
             # a text's first word follows nothing, or the text's own first space
             before[new & (words.starts == words.first[words.doc])] = _FIRST
-        words, chosen, number = _different(words, before)
+        chosen, number = words.different(before)
         flat, sizes = self._distinct(words, chosen, before[chosen])
         many = sizes[number]
         ids = flat[gathered((np.cumsum(sizes) - sizes)[number], many)]
@@ -199,9 +189,9 @@ class ColumnEncoder:
         return np.concatenate([np.empty(0, self.dtype), *found]), np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
 
 
-def column_encoder(path: str) -> ColumnEncoder:
+def column_encoder(path: str, remembered: int = REMEMBERED) -> ColumnEncoder:
     """This Python worker's column encoder for a vocabulary file, until ``encode.forget``."""
     name = f"columns of {path}"
     if name not in _ENCODERS:
-        _ENCODERS[name] = ColumnEncoder(path)
+        _ENCODERS[name] = ColumnEncoder(path, remembered)
     return _ENCODERS[name]

@@ -91,6 +91,7 @@ class Words:
         self.first = offsets[:-1]
         self.data = np.zeros(len(data) + 8, dtype=np.uint8)
         self.data[: len(data)] = LOWER[data] if lower else data
+        self._firsts: np.ndarray | None = None
         self._eights = np.ndarray(len(data) + 1, dtype=">u8", buffer=self.data, strides=(1,))
 
     def slices(self, depth: int, which: np.ndarray | slice = slice(None)) -> np.ndarray:
@@ -105,31 +106,64 @@ class Words:
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word's bytes and length."""
         h = (self.lengths.astype(np.uint64) + np.uint64(seed)) * _ODD
-        depth, which = 0, np.arange(len(self.starts))
+        h = mixed(h ^ self.firsts())
+        depth, which = 1, np.flatnonzero(self.lengths > 8)
         while len(which):
             h[which] = mixed(h[which] ^ self.slices(depth, which))
             depth += 1
             which = which[self.lengths[which] > 8 * depth]
         return h
 
+    def firsts(self) -> np.ndarray:
+        """The first slice of every word, computed once."""
+        if self._firsts is None:
+            self._firsts = self.slices(0)
+        return self._firsts
+
     def narrowed(self, starts: np.ndarray, lengths: np.ndarray) -> Words:
         """Pointers of one's own choice into the same texts; they belong to no text."""
         view = copy.copy(self)
         view.starts, view.lengths, view.doc = starts, lengths.astype(np.int32), np.zeros(len(starts), np.int32)
+        view._firsts = None
         return view
 
-    def equal(self, other: np.ndarray) -> bool:
-        """Whether every word has the same bytes as the word numbered ``other`` in its place."""
-        if not np.array_equal(self.lengths, self.lengths[other]):
+    def equal(self, chosen: np.ndarray, number: np.ndarray) -> bool:
+        """Whether every word has the same bytes as the word ``chosen[number]`` of its number."""
+        if not np.array_equal(self.lengths, self.lengths[chosen][number]):
+            return False
+        if not np.array_equal(self.firsts(), self.firsts()[chosen][number]):
             return False
-        depth, which = 0, np.arange(len(self.starts))
+        depth, which = 1, np.flatnonzero(self.lengths > 8)
         while len(which):
-            if not np.array_equal(self.slices(depth, which), self.slices(depth, other[which])):
+            if not np.array_equal(self.slices(depth, which), self.slices(depth, chosen)[number[which]]):
                 return False
             depth += 1
             which = which[self.lengths[which] > 8 * depth]
         return True
 
+    def different(self, kind: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """``(chosen, number)``: one word of each (bytes, kind), and for every word the number of the chosen one it equals."""
+        keys = self.hashes()
+        if kind is not None:
+            keys = keys + kind.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        if len(keys) < 1 << 24:
+            # 40 bits of the hash and the word's place in one number: sorted as plain integers
+            order = np.sort(keys & ~np.uint64((1 << 24) - 1) | np.arange(len(keys), dtype=np.uint64))
+            fresh = np.diff(order >> np.uint64(24), prepend=np.uint64(1 << 63)) != 0
+            order = (order & np.uint64((1 << 24) - 1)).astype(np.int64)
+            chosen, number = order[fresh], np.empty(len(keys), np.int64)
+            number[order] = np.cumsum(fresh) - 1
+            if self._same(chosen, number, kind):
+                return chosen, number
+        _, chosen, number = np.unique(keys, return_index=True, return_inverse=True)
+        if self._same(chosen, number, kind):
+            return chosen, number
+        every = np.arange(len(keys))  # two words share a whole hash: each for itself
+        return every, every
+
+    def _same(self, chosen: np.ndarray, number: np.ndarray, kind: np.ndarray | None) -> bool:
+        return self.equal(chosen, number) and (kind is None or np.array_equal(kind[chosen][number], kind))
+
     def sorted_runs(self) -> tuple[np.ndarray, np.ndarray]:
         """Pointers in the order of their words' bytes, and for each the number of its run of equal words.
 

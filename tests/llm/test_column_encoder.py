@@ -38,7 +38,7 @@ def test_columns_give_the_tokenizers_ids(path, monkeypatch):
         assert ids[a:b].tolist() == found.ids, repr(text[:60])
     assert 0.3 < known._plain(pa.array(column)).mean() < 1
     assert [len(x) for x in known.encode(pa.array([], pa.string()))] == [0, 1]
-    monkeypatch.setattr(encode_columns, "REMEMBERED", 3)  # what was remembered is dropped and found again
+    monkeypatch.setattr(known, "remembered", 3)  # what was remembered is dropped and found again
     for _ in range(3):
         again, _ = known.encode(pa.array(column[:300]))
         assert (again == ids[: len(again)]).all()
