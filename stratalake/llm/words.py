@@ -8,8 +8,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Text bytes looked at in one go. A longer text is a shard of its own.
-SHARD_BYTES = 16 << 20
+#: Text bytes looked at in one go, and rows at most. A longer text is a shard of its own.
+SHARD_BYTES, SHARD_ROWS = 16 << 20, 1 << 20
 
 #: A-Z to a-z, all other bytes as they are.
 LOWER = np.arange(256, dtype=np.uint8)
@@ -40,23 +40,24 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shards(batches: Iterable[pa.RecordBatch], column: str, limit: int = SHARD_BYTES) -> Iterator[pa.Table]:
-    """Whole rows in tables of up to ``limit`` bytes of text (or one longer text), whatever the batches hold."""
+    """Whole rows in tables of up to ``limit`` bytes of text (or one longer text) and ``SHARD_ROWS`` rows, whatever the batches hold."""
     held: list[pa.RecordBatch] = []
-    size = 0
+    size = rows = 0
     for batch in batches:
         ends = text_buffer(batch.column(column))[1][1:]
         at = done = 0
         while at < batch.num_rows:
-            stop = int(np.searchsorted(ends, done + limit - size, side="right"))
+            stop = min(int(np.searchsorted(ends, done + limit - size, side="right")), at + SHARD_ROWS - rows)
             if stop <= at and not held:
                 stop = at + 1
             if stop > at:
                 held.append(batch.slice(at, stop - at))
                 size += int(ends[stop - 1]) - done
+                rows += stop - at
                 at, done = stop, int(ends[stop - 1])
             if at < batch.num_rows:
                 yield pa.Table.from_batches(held).combine_chunks()
-                held, size = [], 0
+                held, size, rows = [], 0, 0
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm import level_windows, max_sketches, source_divergence
 from stratalake.llm.common import table
+from stratalake.llm import words as words_module
 from stratalake.llm.words import Words, byte_class, shards
 
 SF = "/root/testdata/sf0.001"
@@ -52,12 +53,15 @@ def test_a_word_ends_with_its_text_and_slices_of_columns_work():
     assert [bytes(body[a:b]).decode() for a, b in zip(offsets, offsets[1:])] == ["ab", "", "cd", "gh"]
 
 
-def test_shards_keep_rows_whole_and_in_order():
+def test_shards_keep_rows_whole_and_in_order(monkeypatch):
     texts = ["x" * n for n in (0, 5, 3, 200, 0, 7, 1, 99, 100, 2)]
     batches = pa.table({"text": texts}).to_batches(max_chunksize=3)
     parts = [t["text"].to_pylist() for t in shards(batches, "text", limit=100)]
     assert [x for p in parts for x in p] == texts
     assert all(sum(map(len, p)) <= 100 or len([x for x in p if x]) == 1 for p in parts)
+    monkeypatch.setattr(words_module, "SHARD_ROWS", 4)
+    parts = [t["text"].to_pylist() for t in shards(batches, "text", limit=1000)]
+    assert [x for p in parts for x in p] == texts and max(map(len, parts)) == 4
 
 
 def divergence(rows, least):
