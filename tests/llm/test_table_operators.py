@@ -160,7 +160,7 @@ def test_queries_equal_their_sql(spark, sf):
     import duckdb
 
     base = duckdb.connect()
-    for name in ("pages", "embeddings"):
+    for name in ("pages", "embeddings", "documents", "benchmark"):
         base.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
     for name, sql in ORACLE.items():
         found = QUERIES[name](spark, sf)
