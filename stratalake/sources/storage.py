@@ -104,11 +104,11 @@ def list_files(spark: SparkSession, root: str, page: int = PAGE) -> DataFrame:
     The file system hands the entries over one by one; the driver keeps a page of them
     and appends it to the table, so its memory does not grow with the folder.
     """
-    target = scratch_dir(spark, "listing")
-    spark.createDataFrame([], FILE_FIELDS).write.parquet(target)
+    target, empty = scratch_dir(spark, "listing"), True
     for rows in _pages(spark, root, page):
         spark.createDataFrame(rows, FILE_FIELDS).coalesce(1).write.mode("append").parquet(target)
-    return spark.read.schema(FILE_FIELDS).parquet(target)
+        empty = False
+    return spark.createDataFrame([], FILE_FIELDS) if empty else spark.read.schema(FILE_FIELDS).parquet(target)
 
 
 def read_pointer(spark: SparkSession, path: str) -> dict | None:
