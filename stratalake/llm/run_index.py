@@ -1,15 +1,13 @@
-"""Exact repeats of long byte strings from a run-length index of sampled suffixes.
-
-A suffix array of a whole corpus cannot be built piecewise, so suffixes are sampled by
-content: each window of ``length`` bytes contributes the position of its least
-``GRAM``-byte hash (an anchor). Equal windows choose the same anchor at the same place,
-so every repeat of ``length`` bytes shows as two anchors with the same gram. The index
-holds the anchors by gram. Within a gram, suffixes that continue alike and are preceded
-alike (the symbol of the Burrows-Wheeler transform, here all bytes in which a window
-with the anchor can start) form a run, kept once, with its length and a sampled
-position. A run of two or more is repeated from end to end. Where a gram has
-several runs, matching statistics are streamed over the suffixes that start 0, 1, 2 ...
-bytes before its anchors, sorted: a suffix matches for ``length`` bytes if a neighbour does.
+"""Exact repeats of long byte strings, by grouping anchors that are sampled by content.
+
+No Burrows-Wheeler transform and no suffix array is built. Each window of ``length`` bytes
+contributes the position of its least ``GRAM``-byte hash (an anchor). Equal windows choose
+the same anchor at the same place, so every repeat of ``length`` bytes shows as two anchors
+with the same gram. Anchors are grouped by gram and by a hash of their context, all bytes in
+which a window with the anchor can start; a group is kept once, with its size and a sampled
+position, and a group of two or more is repeated from end to end. Where a gram has several
+groups, the windows that start 0, 1, 2 ... bytes before its anchors are compared by 64-bit
+hashes: a window repeats if another has the same hash.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Near-duplicate join on word shingles: MinHash in fixed bands, then exact Jaccard similarity.
+"""Near-duplicate join on word shingles: MinHash in fixed bands (called trees here), then exact Jaccard similarity.
 
 Each document has one key per band, a hash of the band's MinHash values. Two documents
 are candidates if they share a key. The length of the bands is the longest at which a pair at
