@@ -74,7 +74,8 @@ def bronze_json_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _raw_landing(spark: SparkSession, sf_dir: str, root: str) -> str:
     path = child(root, "landing")
-    star.write_raw_landing(star.raw_order_lines(spark, sf_dir).repartition(5), path)
+    files = star.landing_files(spark, sf_dir, least=5)
+    star.write_raw_landing(star.raw_order_lines(spark, sf_dir).repartition(files), path)
     return path
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.operators.audit import with_audit
-from stratalake.plans import bronze
+from stratalake.plans import bronze, queries_daily
+from stratalake.sources import star_landing
 from stratalake.sources.landing import read_csv, read_json, read_landing
 from stratalake.sources.layers import read_bronze
 from stratalake.streaming.incremental import ingest_new_files
@@ -310,3 +311,35 @@ def test_the_two_ingests_refuse_each_others_paths(spark, path):
     ingest_new_files(spark, "orders", path("landing"), path("steps"), path("p2"), ingested_at=DAY1)
     with pytest.raises(ValueError, match="another kind of ingest"):
         bronze.ingest(spark, "orders", path("landing"), path("steps"), ingested_at=DAY1)
+
+
+def star_tables(spark, path, lines):
+    spark.range(lines).selectExpr(
+        "id AS l_orderkey", "id % 7 AS l_partkey", "id % 3 AS l_suppkey", "cast(id % 5 AS int) AS l_linenumber",
+        "double(id % 9) AS l_quantity", "double(0.01 * (id % 4)) AS l_discount", "'N' AS l_returnflag",
+        "timestamp'1996-01-01' AS l_shipdate",
+    ).write.parquet(path("lineitem.parquet"))
+    spark.range(lines).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "timestamp'1996-01-01' AS o_orderdate"
+    ).write.parquet(path("orders.parquet"))
+    spark.range(7).selectExpr("id AS p_partkey", "double(9.5) AS p_retailprice").write.parquet(path("part.parquet"))
+    return path()
+
+
+def test_landing_files_follow_the_number_of_lines(spark, path, monkeypatch):
+    root = star_tables(spark, path, 120)
+    monkeypatch.setattr(star_landing, "LINES_PER_FILE", 10, raising=False)
+    landing = queries_daily._raw_landing(spark, root, path("raw"))
+    assert len([n for n in os.listdir(landing) if n.endswith(".csv")]) == 12
+    monkeypatch.setattr(star_landing, "LINES_PER_FILE", 1000, raising=False)
+    assert len([n for n in os.listdir(queries_daily._raw_landing(spark, root, path("few"))) if n.endswith(".csv")]) == 5
+
+
+def test_raw_lines_name_each_field_once(spark, path):
+    root = star_tables(spark, path, 500)
+    lines = star_landing.raw_order_lines(spark, root)
+    joined = star_landing._order_lines(spark, root)
+    expected = joined.select(F.expr(star_landing.RAW_ORDER_LINE)).collect()
+    assert sorted(r[0] for r in lines.collect()) == sorted(r[0] for r in expected)
+    text = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("% 29") == 1 and text.count("% 83") <= 3
