@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from stratalake.operators.audit import as_utc, file_lineage, with_audit
 from stratalake.plans.bronze import IngestResult, reject_missing_keys
 from stratalake.sources import storage
-from stratalake.sources.sinks import STEP, child, refuse_children, require_distinct
+from stratalake.sources.sinks import STEP, child, of_batch, refuse_children, require_distinct
 from stratalake.sources.snapshots import POINTER
 from stratalake.tables import BATCH_DATE, CORRUPT, CORRUPT_FIELD, TableSpec, spec_for
 
@@ -89,13 +89,13 @@ def ingest_new_files(
     def write_step(step: DataFrame, number: int) -> None:
         name = f"{STEP}={writer}-{number}"
         seen = Observation()
-        counted = step.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted = of_batch(step.observe(seen, F.count(F.lit(1)).alias("rows")), moment.date())
         counted.write.mode("overwrite").partitionBy(BATCH_DATE).parquet(child(bronze, name))
         found = 0
         if dead_letter:
             stored = spark.read.schema(spec.bronze).parquet(child(bronze, name))
             letters, count = stored.where(F.col(CORRUPT).isNotNull()), Observation()
-            letters = letters.hint("rebalance").observe(count, F.count(F.lit(1)).alias("rows"))
+            letters = of_batch(letters.hint("rebalance").observe(count, F.count(F.lit(1)).alias("rows")), moment.date())
             letters.write.mode("overwrite").partitionBy(BATCH_DATE).parquet(child(dead_letter, name))
             found = count.get["rows"]
         totals["rows"] += seen.get["rows"]

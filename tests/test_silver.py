@@ -3,6 +3,7 @@
 import math
 import random
 from datetime import date, datetime, timezone
+from pathlib import Path
 
 import pytest
 from conftest import bronze_rows
@@ -287,3 +288,16 @@ def test_a_skipped_batch_is_refused(spark, path):
         )
     whole = {"earlier": path("v1"), "since": date(2024, 1, 2)}
     assert silver.refine(spark, "orders", path("bronze"), path("v2"), **whole) == 3
+
+
+def test_a_table_of_one_batch_is_not_gathered_by_date(spark, path, monkeypatch):
+    rows = spark.range(0, 2000, 1, 16).select(F.col("id").cast("string").alias("order_id"), F.lit(date(2024, 1, 1)).alias("_batch_date"))
+    assert write_partitioned(rows, path("one"), date(2024, 1, 1)) == 2000
+    assert spark.read.parquet(path("one")).select("_batch_date").distinct().collect()[0][0] == date(2024, 1, 1)
+    assert len([f for f in Path(path("one", "_batch_date=2024-01-01")).iterdir() if f.suffix == ".parquet"]) == 16
+    batches = []
+    monkeypatch.setattr(silver, "write_partitioned", lambda df, root, batch=None: batches.append(batch) or 0)
+    for day in (1, 2):
+        Path(path("bronze", f"_batch_date=2024-01-0{day}")).mkdir(parents=True)
+        silver.refine(spark, "orders", path("bronze"), path("silver"))
+    assert batches == [date(2024, 1, 1), None]
