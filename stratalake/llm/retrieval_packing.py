@@ -23,6 +23,8 @@ BLOCK, SEARCHED = 512, 4
 #: Share of the documents from which a term is a dense column, and additions made in one go for the other terms.
 DENSE, ADDED = 0.03, 4_000_000
 K1, B = 1.2, 0.75
+#: Text bytes tokenized in one go; terms, counts and checksums of a shard need several times its ids.
+TOKENIZED_BYTES = SHARD_BYTES // 2
 #: Words whose ids a worker remembers; little else needs its memory while texts are encoded.
 REMEMBERED = 1_000_000
 #: Terms that decide which documents come into one shard: the rarest that others hold too.
@@ -47,7 +49,7 @@ def _tokenizer(path: str, end: int, window: int):
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = column_encoder(path, REMEMBERED)
-        for texts in shards(batches, "text", SHARD_BYTES):
+        for texts in shards(batches, "text", TOKENIZED_BYTES):
             body, offsets = known.encode(texts["text"])
             stops = offsets + np.arange(len(offsets))  # each text has the end id behind its own
             lengths = np.diff(stops)

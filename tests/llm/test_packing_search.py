@@ -4,8 +4,10 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from stratalake.llm import retrieval_packing
 from stratalake.llm.retrieval_packing import pack, pack_shard
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,3 +83,17 @@ def test_a_long_document_is_found_by_all_of_its_ids(spark):
     found = sequences(pack(spark.createDataFrame(rows, "doc_id long, text string"), BYTES).collect())
     beside = next(s for s in found if 0 in s and len(s) > 1)
     assert beside[0] == 0 and {i % 5 for i in beside[1:6]} == {0}
+
+
+def test_texts_are_tokenized_in_small_shards(monkeypatch):
+    sizes, cut = [], retrieval_packing.shards
+
+    def watched(batches, column, most):
+        for texts in cut(batches, column, most):
+            sizes.append(texts[column].nbytes)
+            yield texts
+
+    monkeypatch.setattr(retrieval_packing, "shards", watched)
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": ["some words " * 90_000]}) for i in range(12)]
+    made = list(retrieval_packing._tokenizer(public_tokenizers.path("byte_bpe_50k.json"), 1, 2048)(iter(batches)))
+    assert sum(b.num_rows for b in made) == 12 and max(sizes) < 6 << 20
