@@ -24,9 +24,9 @@ BLOCK, SEARCHED = 512, 4
 DENSE, ADDED = 0.03, 4_000_000
 K1, B = 1.2, 0.75
 #: Text bytes tokenized in one go; terms, counts and checksums of a shard need several times its ids.
-TOKENIZED_BYTES = SHARD_BYTES // 2
-#: Words whose ids a worker remembers; little else needs its memory while texts are encoded.
-REMEMBERED = 1_000_000
+TOKENIZED_BYTES = SHARD_BYTES // 8
+#: Words whose ids a worker remembers.
+REMEMBERED = 500_000
 #: Terms that decide which documents come into one shard: the rarest that others hold too.
 RAREST = 3
 _KEYS = ["first", "second", "third", "crc"]
