@@ -20,8 +20,10 @@ _MARKS = byte_class((33, 38), (40, 47), (58, 64), (91, 96), (123, 126))
 _KINDS = _LETTERS + 2 * _MARKS.astype(np.uint8)
 _NOT_BLANK = byte_class((0, 8), (14, 31), (33, 255))
 _NOT_SPACE = byte_class((0, 9), (11, 31), (33, 255))
-#: Words encoded by one call, and words whose ids a worker remembers from one shard to the next.
+#: Words encoded by one call, and words whose ids a worker remembers from one shard to the next (about 60 bytes each).
 _CALL, REMEMBERED = 2000, 400_000
+#: Bytes of the longest word that is remembered.
+_LONGEST = 64
 #: Text bytes encoded in one go.
 SHARD_BYTES = 8 << 20
 #: What stands before a word: nothing, a space or a line feed.
@@ -32,6 +34,72 @@ def _strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
+def _appended(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` behind its first ``used`` values, in twice the room if there is none left."""
+    if used + len(more) > len(held):
+        held = np.concatenate([held[:used], np.empty(used + 2 * len(more), held.dtype)])
+    held[used : used + len(more)] = more
+    return held
+
+
+class RememberedWords:
+    """Ids by word: numbers of words by hash, their bytes to compare, their ids; arrays, no object per word."""
+
+    def __init__(self, dtype: np.dtype) -> None:
+        self.n, self.table = 0, np.full(1 << 12, -1, np.int32)
+        self.hashes, self.data, self.ids = np.empty(0, np.uint64), np.empty(0, np.uint8), np.empty(0, dtype)
+        #: where the bytes and the ids of each word start, and behind them those of the next
+        self.starts, self.firsts = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes & np.uint64(len(self.table) - 1)).astype(np.int64)
+
+    def find(self, words: Words, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word; -1 if it is not remembered, -2 if it never can be, as another has its hash."""
+        found, slots, left = np.full(len(hashes), -1, np.int64), self._slots(hashes), np.arange(len(hashes))
+        while len(left):  # each looks at the next slot until it meets its hash or a free one
+            number = self.table[slots[left]]
+            left, number = left[number >= 0], number[number >= 0]
+            same = self.hashes[number] == hashes[left]
+            found[left[same]] = number[same]
+            left = left[~same]
+            slots[left] = (slots[left] + 1) & (len(self.table) - 1)
+        some = np.flatnonzero(found >= 0)
+        starts, lengths = self.starts[found[some]], words.lengths[some].astype(np.int64)
+        differs = self.starts[found[some] + 1] - starts != lengths
+        found[some[differs]] = -2
+        some, starts, lengths = some[~differs], starts[~differs], lengths[~differs]
+        unlike = np.flatnonzero(self.data[gathered(starts, lengths)] != words.data[gathered(words.starts[some], lengths)])
+        found[some[np.searchsorted(np.cumsum(lengths), unlike, side="right")]] = -2
+        return found
+
+    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are remembered, one after the other, and how many each has."""
+        many = self.firsts[numbers + 1] - self.firsts[numbers]
+        return self.ids[gathered(self.firsts[numbers], many)], many
+
+    def add(self, words: Words, hashes: np.ndarray, ids: np.ndarray, many: np.ndarray, free: np.ndarray) -> None:
+        """Remember the words marked ``free``; of those that share a hash the first."""
+        first = np.zeros(len(hashes), dtype=bool)
+        first[np.unique(hashes, return_index=True)[1]] = True
+        some = np.flatnonzero(first & free & (words.lengths <= _LONGEST))
+        n, lengths = self.n + len(some), words.lengths[some].astype(np.int64)
+        body, own = words.data[gathered(words.starts[some], lengths)], ids[gathered((np.cumsum(many) - many)[some], many[some])]
+        self.data, self.ids = _appended(self.data, self.starts[self.n], body), _appended(self.ids, self.firsts[self.n], own)
+        self.starts = _appended(self.starts, self.n + 1, self.starts[self.n] + np.cumsum(lengths))
+        self.firsts = _appended(self.firsts, self.n + 1, self.firsts[self.n] + np.cumsum(many[some]))
+        self.hashes = _appended(self.hashes, self.n, hashes[some])
+        left, self.n = np.arange(self.n, n), n
+        if 2 * n > len(self.table):  # half of the slots stay free
+            self.table, left = np.full(1 << (2 * n).bit_length(), -1, np.int32), np.arange(n)
+        slots = self._slots(self.hashes[left])
+        while len(left):  # a word that finds its slot taken goes on to the next
+            empty = self.table[slots] < 0
+            self.table[slots[empty]] = left[empty]
+            taken = self.table[slots] != left
+            left, slots = left[taken], (slots[taken] + 1) & (len(self.table) - 1)
+
+
 class ColumnEncoder:
     """Gives the same ids as ``PieceEncoder.encode`` text by text.
 
@@ -45,10 +113,12 @@ class ColumnEncoder:
 
         self.texts: PieceEncoder = encoder(path)
         self.dtype, self.remembered = self.texts.dtype, remembered
-        self.known: dict[bool, tuple[dict[str, int], np.ndarray, np.ndarray]] = {}
+        self.known: dict[bool, RememberedWords] = {}
         if self.texts.keeps_blanks or self.texts.drops_blanks:
             self.lines = Tokenizer(self.texts.model)
             self.lines.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+            # code points of the bytes' stand-ins; a line feed parts words
+            self.points = np.array([10 if b == 10 else ord(x) for b, x in enumerate(self.texts.letters)], "<u4")
             # tokens that only the start (after a space) or only the end of a word has
             space, suffix = self.texts.letters[32], self.texts.model.end_of_word_suffix
             vocabulary = self.texts.tokenizer.get_vocab()
@@ -64,34 +134,35 @@ class ColumnEncoder:
             return np.ones(len(column), dtype=bool)
         return ~pc.match_substring_regex(column, "|".join(parts)).to_numpy(zero_copy_only=False)
 
-    def _letters(self, words: list[str], lead: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of plain words and how many each has; words of the shards before may still be known."""
-        if self.texts.drops_blanks:
-            words = [w if w.isascii() else w.lower() for w in words]
-        known, flat, sizes = self.known.get(lead) or ({}, np.empty(0, self.dtype), np.empty(0, np.int64))
-        if len(known) > self.remembered:
-            known, flat, sizes = {}, flat[:0], sizes[:0]
-        if new := list(dict.fromkeys([w for w in words if w not in known])):
-            ids, many = self._encoded(new, lead)
+    def _letters(self, words: Words, lead: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct plain words in an order of its own, their ids and how many each has; words of the shards before may still be known."""
+        known = self.known.get(lead)
+        if known is None or known.n > self.remembered:
+            known = self.known[lead] = RememberedWords(self.dtype)
+        hashes = words.hashes()
+        found = known.find(words, hashes)
+        old, new = np.flatnonzero(found >= 0), np.flatnonzero(found < 0)
+        flat, sizes = known.get(found[old])
+        if len(new):
+            texts = _strings(words.texts(new))
+            if self.texts.drops_blanks:
+                texts = [w if w.isascii() else w.lower() for w in texts]
+            ids, many = self._encoded(texts, lead)
             if len(many) != len(new):
                 raise RuntimeError("the vocabulary does not mark the edges of words")
-            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            free = found[new] == -1
+            known.add(words.narrowed(words.starts[new], words.lengths[new]), hashes[new], ids, many, free)
             flat, sizes = np.concatenate([flat, ids]), np.concatenate([sizes, many])
-        self.known[lead] = known, flat, sizes
-        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-        return flat[gathered((np.cumsum(sizes) - sizes)[at], sizes[at])], sizes[at]
+        return np.concatenate([old, new]), flat, sizes
 
     def _encoded(self, words: list[str], lead: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of plain words, many by one call, and how many each has."""
-        letters = self.texts.letters
-        space = letters[32] if lead and self.texts.keeps_blanks else ""
+        space = " " if lead and self.texts.keeps_blanks else ""
         parts, sizes = [np.empty(0, self.dtype)], [np.empty(0, np.int64)]
         for a in range(0, len(words), _CALL):
             part = words[a : a + _CALL]
-            text = space + ("\n" + space).join(part)
-            if not text.isascii():
-                part = [w if w.isascii() else "".join([letters[b] for b in w.encode()]) for w in part]
-                text = space + ("\n" + space).join(part)
+            text = (space + ("\n" + space).join(part)).encode()
+            text = self.points[np.frombuffer(text, np.uint8)].tobytes().decode("utf-32-le")
             if self.texts.keeps_blanks and not lead:  # no token tells where such a word starts
                 found = self.lines.encode(text, add_special_tokens=False)
                 ids, many = np.array(found.ids, dtype=self.dtype), np.bincount(found.word_ids, minlength=len(part))
@@ -121,9 +192,9 @@ class ColumnEncoder:
         chosen, number = bare.different(lead)
         flat, sizes, at = [], [], np.zeros(len(chosen), np.int64)
         for side in (False, True):
-            own = np.flatnonzero(lead[chosen] == side)
-            ids, many = self._letters(_strings(bare.texts(chosen[own])), side)
-            at[own] = np.arange(len(own)) + sum(map(len, sizes))
+            own = chosen[lead[chosen] == side]
+            order, ids, many = self._letters(bare.narrowed(bare.starts[own], bare.lengths[own]), side)
+            at[np.flatnonzero(lead[chosen] == side)[order]] = np.arange(len(own)) + sum(map(len, sizes))
             flat.append(ids)
             sizes.append(many)
         known = sum(map(len, sizes))

@@ -29,6 +29,8 @@ TOKENIZED_BYTES = SHARD_BYTES // 8
 REMEMBERED = 500_000
 #: Terms that decide which documents come into one shard: the rarest that others hold too.
 RAREST = 3
+#: Documents that are given these terms in one go.
+DEALT = 1024
 _KEYS = ["first", "second", "third", "crc"]
 _PIECE = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
           ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
@@ -269,33 +271,39 @@ def pack_shard(docs: list[np.ndarray], window: int) -> list[list[tuple[int, int,
     return [out[k] for k in sorted(out)]
 
 
-def _rarest(df: np.ndarray, terms: list[bytes], width: int) -> np.ndarray:
+def _ranks(df: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms that several documents hold, rarest first, and each term's place among them; behind them come all others."""
+    order = np.lexsort((np.arange(len(df)), df))
+    order = order[df[order] > 1]
+    places = np.full(len(df), len(order), np.int32)
+    places[order] = np.arange(len(order))
+    return order, places
+
+
+def _rarest(ranks: tuple[np.ndarray, np.ndarray], terms: list[bytes], width: int) -> np.ndarray:
     """Per document its ``RAREST`` rarest terms among those that another document holds, -1 where there are none."""
+    order, places = ranks
     held = np.array([len(t) // width for t in terms])
-    ids = np.frombuffer(b"".join(terms), f"<u{width}").astype(np.int64)
-    # one number per term that orders them: how many documents hold it, then which it is
-    keys = np.where(df[ids] > 1, df[ids] * len(df) + ids, np.iinfo(np.int64).max)
-    owner = np.repeat(np.arange(len(terms)), held)
-    first = np.cumsum(held) - held
+    keys = places[np.frombuffer(b"".join(terms), f"<u{width}")]
+    some = np.flatnonzero(held)
+    first = (np.cumsum(held) - held)[some]
     out = np.full((len(terms), RAREST), -1, np.int64)
-    some = held > 0
-    for i in range(RAREST):
-        least = np.minimum.reduceat(keys, first[some]) if some.any() else keys[:0]
-        found = least < np.iinfo(np.int64).max
-        out[np.flatnonzero(some)[found], i] = least[found] % len(df)
-        lowest = np.full(len(terms), -1, np.int64)
-        lowest[some] = least
-        keys[keys == lowest[owner]] = np.iinfo(np.int64).max
+    for i in range(RAREST if len(some) else 0):
+        least = np.minimum.reduceat(keys, first)
+        found = least < len(order)
+        out[some[found], i] = order[least[found]]
+        keys[keys == np.repeat(least, held[some])] = len(order)
     return out
 
 
 def _dealer(df: np.ndarray, width: int):
     """Documents with the keys they are dealt by: their rarest terms, then a checksum that equal tails share."""
+    ranks = _ranks(df)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                keys = _rarest(df, batch.column("terms").to_pylist(), width)
+        for held in batches:  # passed on in small batches, as both sides hold a batch as a whole
+            for batch in (held.slice(a, DEALT) for a in range(0, held.num_rows, DEALT)):
+                keys = _rarest(ranks, batch.column("terms").to_pylist(), width)
                 crc = pa.array([zlib.crc32(t) for t in batch.column("tail").to_pylist()], pa.int64())
                 names = [*batch.schema.names, *_KEYS]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in keys.T), crc], names=names)

@@ -54,6 +54,32 @@ def test_words_that_share_a_hash_are_told_apart(path, monkeypatch):
         assert ids[a:b].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_of_earlier_shards_stay_bytes(path, monkeypatch):
+    made = []
+    monkeypatch.setattr(encode_columns, "_strings", lambda column: made.append(len(column)) or column.to_pylist())
+    known, rng = ColumnEncoder(path), random.Random(5)
+    words = ["".join(rng.choices("abcdeé", k=rng.randint(4, 12))) for _ in range(9000)] + ["long" * 30]
+    tokenizer = Tokenizer.from_file(path)
+    for shard in (words[:50], words[:6000], words, words[::-1], words):  # the table of words grows on the way
+        made.clear()
+        ids, _ = known.encode(pa.array([" ".join(shard)]))
+        assert ids.tolist() == tokenizer.encode(" ".join(shard), add_special_tokens=False).ids
+    assert sum(made) <= 2  # the word that is too long to be remembered, and the first, which no space leads
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_words_that_share_a_hash_are_told_apart_from_shard_to_shard(path, monkeypatch):
+    hashes = Words.hashes
+    monkeypatch.setattr(Words, "hashes", lambda self, seed=0: hashes(self, seed) & np.uint64(15))
+    known, rng = ColumnEncoder(path), random.Random(6)
+    tokenizer = Tokenizer.from_file(path)
+    for _ in range(30):
+        text = " ".join("".join(rng.choices("abc", k=rng.randint(1, 3))) for _ in range(20))
+        ids, _ = known.encode(pa.array([text]))
+        assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_other_kinds_of_tokenizer_go_text_by_text(monkeypatch):
     known = ColumnEncoder(WORDS)
     monkeypatch.setattr(known.texts, "drops_blanks", False)

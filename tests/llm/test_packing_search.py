@@ -97,3 +97,16 @@ def test_texts_are_tokenized_in_small_shards(monkeypatch):
     batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": ["some words " * 90_000]}) for i in range(12)]
     made = list(retrieval_packing._tokenizer(public_tokenizers.path("byte_bpe_50k.json"), 1, 2048)(iter(batches)))
     assert sum(b.num_rows for b in made) == 12 and max(sizes) < 6 << 20
+
+
+def test_documents_are_dealt_in_small_batches_by_their_rarest_terms():
+    rng = np.random.default_rng(17)
+    docs = [np.unique(rng.zipf(1.2, rng.integers(0, 30)) % 5000).astype("<u2") for _ in range(3000)]
+    df = np.bincount(np.concatenate(docs), minlength=5000)
+    batch = pa.RecordBatch.from_pydict({"tail": [d.tobytes() for d in docs], "terms": [d.tobytes() for d in docs]})
+    made = list(retrieval_packing._dealer(df, 2)(iter([batch.slice(0, 0), batch])))
+    assert sum(b.num_rows for b in made) == 3000 and max(b.num_rows for b in made) <= 1024
+    found = pa.Table.from_batches(made).select(["terms", "first", "second", "third"]).to_pylist()
+    for doc, row in zip(docs, found, strict=True):
+        rarest = sorted((t for t in doc.tolist() if df[t] > 1), key=lambda t: (df[t], t))[:3]
+        assert row["terms"] == doc.tobytes() and [row["first"], row["second"], row["third"]] == (rarest + [-1] * 3)[:3]
