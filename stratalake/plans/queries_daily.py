@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from stratalake.operators.wordcount import merge_counts
 from stratalake.plans import arrivals, bronze, full_run, gold, silver, silver_delta
 from stratalake.plans.count_words import count_words
-from stratalake.session import scratch_dir
+from stratalake.session import chained_jobs, scratch_dir
 from stratalake.sources import star_landing as star
+from stratalake.sources import storage
 from stratalake.sources.landing import read_csv, read_lines
 from stratalake.sources.layers import read_bronze, read_gold, read_silver
 from stratalake.sources.sinks import child, write_lines, write_partitioned
@@ -137,9 +138,15 @@ def _daily_run(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         {"products": products.where(part % 4 == 0)},
         {"customers": late, "products": cheaper},
     ]
+    # The lines of all days are joined once and wait outside the landing folder for their day.
+    waiting = child(lake.root, "waiting")
+    with chained_jobs(spark):
+        star.write_csv_landing(orders.where("day IS NOT NULL").drop(*METADATA), waiting, by="day", compression="gzip")
     for day, delivered in enumerate(deliveries):
-        for name, rows in {"orders": orders.where(F.col("day") == day).drop("day"), **delivered}.items():
-            star.write_csv_landing(rows.drop(*METADATA), child(lake.path("landing", name), f"day-{day}"))
+        storage.move(spark, child(waiting, f"day={day}"), child(lake.path("landing", "orders"), f"day-{day}"))
+        for name, rows in delivered.items():
+            landing = child(lake.path("landing", name), f"day-{day}")
+            star.write_csv_landing(rows.drop(*METADATA), landing, compression="gzip")
         full_run.run(spark, lake, ingested_at=LANDED_AT + timedelta(days=day), as_of=AS_OF, incremental=True)
     return read_gold(spark, lake.path("gold", table))
 
